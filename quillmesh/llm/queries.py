@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillmesh.llm.bpe import encode_corpus
+from quillmesh.llm.split import heading_items, split_oversized, zone_items
 from quillmesh.runtime import table
 
 #: Folder of the public tokenizers' files.
@@ -20,5 +22,40 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", BYTE_BPE_PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (p8_ids,)}
-ORACLE: dict[str, str] = {}
+HEADING_LIMIT, HEADING_OVERLAP = 200, 20
+ZONE_LIMIT, ZONE_OVERLAP = 3000, 200
+
+
+def _oversized(spark: SparkSession, folder: str) -> DataFrame:
+    headings = heading_items(table(spark, folder, "articles"), HEADING_LIMIT)
+    zones = zone_items(table(spark, folder, "parts"), table(spark, folder, "docs"), ZONE_LIMIT)
+    return split_oversized(headings, HEADING_LIMIT, HEADING_OVERLAP).unionByName(split_oversized(zones, ZONE_LIMIT, ZONE_OVERLAP))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Headings and zones above their limit."""
+    return _oversized(spark, folder).select("rec_id", "part_index", "item_kind", "item_name").distinct()
+
+
+def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of every heading and zone above its limit."""
+    return _oversized(spark, folder).select(
+        "rec_id", "part_index", "item_kind", "item_name", F.posexplode("pieces").alias("piece_no", "piece")
+    )
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p8_ids)}
+_TRIM = "regexp_replace(nfc_normalize({0}), '^[\\s\\x0b\\p{{Z}}\\x{{85}}]+|[\\s\\x0b\\p{{Z}}\\x{{85}}]+$', '', 'g')"
+ORACLE: dict[str, str] = {
+    "p3_found": f"""WITH j AS (SELECT rec_id, part_index, CASE WHEN json_valid(zones) THEN
+          CASE WHEN json_type(zones) = 'VARCHAR' THEN zones->>'$' ELSE zones END END AS z FROM parts),
+      k AS (SELECT rec_id, part_index, z, unnest(json_keys(z)) AS name FROM j WHERE z IS NOT NULL AND json_type(z) = 'OBJECT'),
+      v AS (SELECT rec_id, part_index, name, json_extract(z, '$."' || name || '"') AS v FROM k),
+      s AS (SELECT rec_id, part_index, name,
+          try_cast(CASE json_type(v) WHEN 'ARRAY' THEN v->>0 WHEN 'OBJECT' THEN v->>'start' ELSE split_part(v->>'$', '-', 1) END AS INT) AS a,
+          try_cast(CASE json_type(v) WHEN 'ARRAY' THEN v->>1 WHEN 'OBJECT' THEN v->>'end' ELSE split_part(v->>'$', '-', 2) END AS INT) AS b FROM v)
+      SELECT DISTINCT s.rec_id, part_index, 'zone' AS item_kind, name AS item_name FROM s JOIN docs ON docs.rec_id = s.rec_id
+       WHERE a >= 0 AND b > a AND length({_TRIM.format('substring(raw_txt, a + 1, b - a)')}) > {ZONE_LIMIT}
+      UNION SELECT rec_id, part_index, 'heading', CAST(seq AS VARCHAR) FROM articles
+       WHERE length({_TRIM.format('heading')}) > {HEADING_LIMIT}""",
+}
