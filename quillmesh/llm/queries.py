@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.bpe import encode_corpus
+from quillmesh.llm.canonical import map_values
 from quillmesh.llm.split import heading_items, split_oversized, zone_items
 from quillmesh.runtime import table
 
@@ -44,7 +45,22 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p8_ids)}
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The organisation and the document type meant by each typed value, or NONE."""
+    docs = table(spark, folder, "docs")
+    out = None
+    for field, name, cols in (
+        ("org_name", "organizations", ("org_id", "org_name", "short_code")),
+        ("doc_type", "document_types", ("type_code", "type_name", "type_code")),
+    ):
+        reference = table(spark, folder, name).select(*(F.col(c).alias(a) for c, a in zip(cols, ("code", "name", "short"))))
+        values = docs.select("rec_id", F.lit(field).alias("field_name"), F.col(field).alias("value"))
+        found = map_values(values, reference)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p5_found, p8_ids)}
 _TRIM = "regexp_replace(nfc_normalize({0}), '^[\\s\\x0b\\p{{Z}}\\x{{85}}]+|[\\s\\x0b\\p{{Z}}\\x{{85}}]+$', '', 'g')"
 ORACLE: dict[str, str] = {
     "p3_found": f"""WITH j AS (SELECT rec_id, part_index, CASE WHEN json_valid(zones) THEN
