@@ -61,7 +61,7 @@ def damerau(a: str, b: str) -> int:
 
 def allowed(length: int) -> int:
     """Edits that a value of so many letters may have."""
-    return 0 if length < 4 else 1 if length < 10 else 2
+    return 0 if length < 4 else 1 if length < 9 else 2
 
 
 def as_matrix(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,6 +164,7 @@ class Reference:
     @staticmethod
     def _forms(value: str) -> list[str]:
         """Rewritings of a typed value, the plainest first."""
+        value = value.replace("&", " và ")
         bare = _BRACKETS.sub(" ", value)
         inside = [x[1:-1] for x in _BRACKETS.findall(value)]
         parts = [p for p in _INVERTED.split(bare) if p.strip()]

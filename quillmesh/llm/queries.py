@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm.bpe import encode_corpus
 from quillmesh.llm.canonical import map_values
+from quillmesh.llm.names import link_organizations, link_people, pairs
 from quillmesh.llm.split import heading_items, split_oversized, zone_items
 from quillmesh.runtime import table
 
@@ -45,6 +46,20 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _entries(spark: SparkSession, folder: str) -> DataFrame:
+    names = (F.col(c).alias(a) for c, a in zip(("org_id", "org_name", "short_code"), ("code", "name", "short")))
+    return table(spark, folder, "organizations").select(*names)
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of rows that mean the same signer or the same organisation."""
+    signers = table(spark, folder, "chuan").select(F.col("signer_id").alias("id"), F.col("unit_code").alias("unit"), F.col("full_name").alias("name"))
+    aliases = table(spark, folder, "aliases_seed").select(F.col("alias_id").alias("id"), F.col("alias").alias("name"))
+    people = pairs(link_people(signers), "unit", "entity")
+    orgs = pairs(link_organizations(aliases, _entries(spark, folder)), "entity")
+    return people.select(F.lit("chuan").alias("tbl"), "id_a", "id_b").unionByName(orgs.select(F.lit("aliases_seed").alias("tbl"), "id_a", "id_b"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The organisation and the document type meant by each typed value, or NONE."""
     docs = table(spark, folder, "docs")
@@ -60,7 +75,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p5_found, p8_ids)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p8_ids)}
 _TRIM = "regexp_replace(nfc_normalize({0}), '^[\\s\\x0b\\p{{Z}}\\x{{85}}]+|[\\s\\x0b\\p{{Z}}\\x{{85}}]+$', '', 'g')"
 ORACLE: dict[str, str] = {
     "p3_found": f"""WITH j AS (SELECT rec_id, part_index, CASE WHEN json_valid(zones) THEN
