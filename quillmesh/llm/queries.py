@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm.bpe import encode_corpus
 from quillmesh.llm.canonical import map_values
+from quillmesh.llm.consensus import agreement, consensus, reliability
 from quillmesh.llm.names import link_organizations, link_people, pairs
 from quillmesh.llm.split import heading_items, split_oversized, zone_items
 from quillmesh.runtime import table
@@ -75,7 +76,22 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p8_ids)}
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The right label and number of every item of the annotation sheets."""
+    return consensus(table(spark, folder, "phieu_gan"))
+
+
+def p6_agreement(spark: SparkSession, folder: str) -> DataFrame:
+    """Chance-corrected agreement of the annotators."""
+    return agreement(table(spark, folder, "phieu_gan"))
+
+
+def p6_reliability(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected accuracy of every annotator."""
+    return reliability(table(spark, folder, "phieu_gan"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p8_ids)}
 _TRIM = "regexp_replace(nfc_normalize({0}), '^[\\s\\x0b\\p{{Z}}\\x{{85}}]+|[\\s\\x0b\\p{{Z}}\\x{{85}}]+$', '', 'g')"
 ORACLE: dict[str, str] = {
     "p3_found": f"""WITH j AS (SELECT rec_id, part_index, CASE WHEN json_valid(zones) THEN
