@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillmesh.llm.bpe import encode_corpus
 from quillmesh.llm.canonical import map_values
 from quillmesh.llm.consensus import agreement, consensus, reliability
+from quillmesh.llm.leaks import find_leaks
 from quillmesh.llm.names import link_organizations, link_people, pairs
 from quillmesh.llm.split import heading_items, split_oversized, zone_items
 from quillmesh.runtime import table
@@ -91,7 +92,14 @@ def p6_reliability(spark: SparkSession, folder: str) -> DataFrame:
     return reliability(table(spark, folder, "phieu_gan"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p8_ids)}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a passage of a test item's question or answer."""
+    held = table(spark, folder, "eval_items")
+    items = held.select("item_id", F.col("cau_hoi").alias("text")).union(held.select("item_id", "dap_an"))
+    return find_leaks(table(spark, folder, "documents"), items)
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p8_ids, p9_found)}
 _TRIM = "regexp_replace(nfc_normalize({0}), '^[\\s\\x0b\\p{{Z}}\\x{{85}}]+|[\\s\\x0b\\p{{Z}}\\x{{85}}]+$', '', 'g')"
 ORACLE: dict[str, str] = {
     "p3_found": f"""WITH j AS (SELECT rec_id, part_index, CASE WHEN json_valid(zones) THEN
