@@ -12,6 +12,7 @@ from quillmesh.llm.canonical import map_values
 from quillmesh.llm.consensus import agreement, consensus, reliability
 from quillmesh.llm.leaks import find_leaks
 from quillmesh.llm.names import link_organizations, link_people, pairs
+from quillmesh.llm.stuffing import find_stuffed
 from quillmesh.llm.split import heading_items, split_oversized, zone_items
 from quillmesh.runtime import table
 
@@ -99,7 +100,12 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), items)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p8_ids, p9_found)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that are pages of keywords, links, tags or offers."""
+    return find_stuffed(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p8_ids, p9_found, p10_found)}
 _TRIM = "regexp_replace(nfc_normalize({0}), '^[\\s\\x0b\\p{{Z}}\\x{{85}}]+|[\\s\\x0b\\p{{Z}}\\x{{85}}]+$', '', 'g')"
 ORACLE: dict[str, str] = {
     "p3_found": f"""WITH j AS (SELECT rec_id, part_index, CASE WHEN json_valid(zones) THEN
