@@ -12,6 +12,7 @@ from quillmesh.llm.canonical import map_values
 from quillmesh.llm.consensus import agreement, consensus, reliability
 from quillmesh.llm.leaks import find_leaks
 from quillmesh.llm.names import link_organizations, link_people, pairs
+from quillmesh.llm.scans import find_faults
 from quillmesh.llm.stuffing import find_stuffed
 from quillmesh.llm.split import heading_items, split_oversized, zone_items
 from quillmesh.runtime import table
@@ -105,7 +106,23 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_stuffed(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p8_ids, p9_found, p10_found)}
+def _scans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "docs").select(F.lit("docs").alias("tbl"), F.col("rec_id").alias("row_id"), F.col("raw_txt").alias("text"))
+    evidence = table(spark, folder, "article_evidence").select(F.lit("article_evidence").alias("tbl"), F.col("evidence_id").alias("row_id"), "text")
+    return docs.unionByName(evidence)
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Faulty lines of scanned texts."""
+    return find_faults(_scans(spark, folder))
+
+
+def p7_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The repaired running text of every scanned text."""
+    return find_faults(_scans(spark, folder), text_too=True)
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p7_found, p7_text, p8_ids, p9_found, p10_found)}
 _TRIM = "regexp_replace(nfc_normalize({0}), '^[\\s\\x0b\\p{{Z}}\\x{{85}}]+|[\\s\\x0b\\p{{Z}}\\x{{85}}]+$', '', 'g')"
 ORACLE: dict[str, str] = {
     "p3_found": f"""WITH j AS (SELECT rec_id, part_index, CASE WHEN json_valid(zones) THEN
