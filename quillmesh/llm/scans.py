@@ -328,8 +328,9 @@ def find_faults(texts: DataFrame, text_too: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.string())], names=["word", "n", "proper", "alike"])
 
     words = cut(judged.select("word", (F.col("d") + F.col("s")).alias("n"), "proper").mapInArrow(keyed, "word string, n bigint, proper boolean, alike string"))
-    right = words.where("proper and alike <> ''").groupBy("alike").agg(F.max_by("word", F.struct("n", "word")).alias("fix"))
-    misread = words.where("not proper").join(right, "alike").select("word", "fix")
+    right = words.where("proper and alike <> ''").select("alike", F.col("word").alias("fix"), F.col("n").alias("fix_n"))
+    near = F.struct(F.levenshtein("word", "fix"), -F.col("fix_n"), "fix")
+    misread = words.where("not proper").join(right, "alike").groupBy("word").agg(F.min_by("fix", near).alias("fix"))
     wanted = counts.select("chunk", "word").join(misread, "word")
     schema = "tbl string, row_id bigint, text string" if text_too else "tbl string, row_id bigint, line_no int, kind string"
 
@@ -344,7 +345,8 @@ def find_faults(texts: DataFrame, text_too: bool = False) -> DataFrame:
                 seen.add(w)
                 t = token(w)
                 if t in low:
-                    bad[w] = w.lower().replace(t, low[t])
+                    fix = low[t].upper() if len(t) > 1 and w.isupper() else low[t].capitalize() if w.strip(STRIP)[:1].isupper() else low[t]
+                    bad[w] = re.sub(re.escape(t), fix, w, count=1, flags=re.I)
             if text_too:
                 out.append((tbl, row, repaired(text, model, bad)))
             else:
