@@ -62,8 +62,8 @@ def kappa(pairs: DataFrame) -> DataFrame:
     n = rows.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("a") == F.col("b")).cast("int")).alias("same"))
     side = lambda c: rows.groupBy(F.col(c).alias("x")).agg(F.count(F.lit(1)).alias(f"n_{c}"))
     chance = side("a").join(side("b"), "x").agg(F.coalesce(F.sum(F.col("n_a") * F.col("n_b")), F.lit(0)).alias("both"))
-    po, pe = F.col("same") / F.col("n"), F.col("both") / (F.col("n") * F.col("n"))
-    k = F.when(F.col("n") == 0, F.lit(None)).when(pe == 1, F.lit(1.0)).otherwise((po - pe) / (1 - pe))
+    po, pe = F.try_divide("same", "n"), F.try_divide(F.col("both"), F.col("n") * F.col("n"))
+    k = F.when(F.col("n") == 0, F.lit(None)).when(pe == 1, F.lit(1.0)).otherwise(F.try_divide(po - pe, 1 - pe))
     return n.crossJoin(chance).select("n", F.round(po, 6).alias("observed"), F.round(pe, 6).alias("expected"), F.round(k, 6).alias("kappa"))
 
 

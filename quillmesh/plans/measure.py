@@ -107,7 +107,7 @@ def cohen_kappa(spark: SparkSession, folder: str) -> DataFrame:
 @_query(
     f"{_V}, t AS (SELECT id, min(label) AS truth FROM (SELECT id, label, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, label) AS nth FROM v GROUP BY id, label) WHERE nth = 1 GROUP BY id), "
     "c AS (SELECT x.label, count(*) FILTER (kind = 'tp') AS tp, count(*) FILTER (kind = 'fp') AS fp, count(*) FILTER (kind = 'fn') AS fn FROM (SELECT v.label, CASE WHEN v.label = truth THEN 'tp' ELSE 'fp' END AS kind FROM v JOIN t USING (id) "
-    "UNION ALL SELECT truth, 'fn' FROM v JOIN t USING (id) WHERE v.label <> truth) x GROUP BY x.label) SELECT label, tp, fp, fn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall FROM c"
+    "UNION ALL SELECT truth, 'fn' FROM v JOIN t USING (id) WHERE v.label <> truth) x GROUP BY x.label) SELECT label, tp, fp, fn, CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 6) ELSE 0.0 END AS precision, CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 6) ELSE 0.0 END AS recall FROM c"
 )
 def relation_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Precision and recall of the single labels against the majority, per relation."""
@@ -117,7 +117,7 @@ def relation_scores(spark: SparkSession, folder: str) -> DataFrame:
     x = v.join(truth, "id")
     said = x.groupBy("label").agg(F.count_if(F.col("label") == F.col("truth")).alias("tp"), F.count_if(F.col("label") != F.col("truth")).alias("fp"))
     missed = x.where("label <> truth").groupBy(F.col("truth").alias("label")).agg(F.count(F.lit(1)).alias("fn"))
-    c = said.join(missed, "label", "left").withColumn("fn", F.coalesce("fn", F.lit(0)))
+    c = said.join(missed, "label", "full").select("label", *(F.coalesce(x, F.lit(0)).alias(x) for x in ("tp", "fp", "fn")))
     p, r, _ = metrics.prf(F.col("tp"), F.col("fp"), F.col("fn"))
     return c.select("label", "tp", "fp", "fn", F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"))
 

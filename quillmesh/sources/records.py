@@ -136,7 +136,7 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
     """The question set: CSV with a header, answers split at ";"."""
     cols = "id string, nhom string, cau_hoi string, tu_khoa string, cypher_tham_so string, loai_truy_van string, nguon_dap_an string, DAP_AN string"
     df = spark.read.schema(cols).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return df.withColumn("answers", F.filter(F.transform(F.split("DAP_AN", ";"), F.trim), lambda x: x != "")).drop("DAP_AN")
+    return df.withColumn("answers", F.filter(F.transform(F.split("DAP_AN", ";"), lambda x: F.trim(x)), lambda x: x != "")).drop("DAP_AN")
 
 
 def read_crawl(spark: SparkSession, path: str) -> DataFrame:
