@@ -150,6 +150,6 @@ def read_crawl(spark: SparkSession, path: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """(file, topic, stem, text) of the text files below ``path``; the topic is the first directory below it."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path).withColumn("file", F.col("_metadata.file_path"))
+    df = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").withColumn("file", F.col("_metadata.file_path"))
     below = F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
     return df.select("file", below.alias("topic"), F.regexp_extract("file", r"([^/]+)\.txt$", 1).alias("stem"), F.col("value").alias("text"))
