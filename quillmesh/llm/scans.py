@@ -31,6 +31,8 @@ CHUNK, SAMPLE = 1_000, 1_500
 WRAPPED = 150
 #: A word is proper when digital files have it so often, at such a share of the scans' rate.
 PROPER, RATE = 3, 0.2
+#: A word that so large a share of the scans have, and so many for one that has what it may be misread from, is no misreading: it belongs to their form.
+COMMON, BESIDE = 0.2, 0.5
 #: Where there is hardly any digital text, a word is proper when it is so frequent.
 FREQUENT, LITTLE = 20, 1_000
 #: Longest line that can be a header.
@@ -272,14 +274,19 @@ def repaired(text: str, model: LineModel, bad: dict[str, str]) -> str:
     return "\n".join(" ".join(map(fix, p.split())) for p in out if p)
 
 
-def count_words(texts: list[str]) -> tuple[Counter, Counter]:
-    """(in digital texts, in scans) of the words of some texts."""
-    digital, scans = Counter(), Counter()
+def count_words(texts: list[str]) -> tuple[Counter, Counter, Counter]:
+    """(words of digital texts, words of scans, scans that have a word); "" counts the texts."""
+    digital, scans, having = Counter(), Counter(), Counter()
     for t in texts:
         t = composed(t)
-        longest = max(map(len, t.split("\n")))
-        (digital if longest > WRAPPED else scans).update(t.split())
-    return digital, scans
+        words = t.split()
+        if max(map(len, t.split("\n"))) > WRAPPED:
+            digital.update(words)
+        else:
+            scans.update(words)
+            having.update({t for w in set(words) if (t := token(w))})
+            having[""] += 1
+    return digital, scans, having
 
 
 def _spread(texts: DataFrame, chunks: int) -> DataFrame:
@@ -301,21 +308,21 @@ def find_faults(texts: DataFrame, text_too: bool = False) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def count(group: pa.Table) -> pa.Table:
-        digital, scans = count_words(group.column("text").to_pylist())
+        digital, scans, having = count_words(group.column("text").to_pylist())
         words = Counter(), Counter()
         for out, raw in zip(words, (digital, scans)):
             for w, k in raw.items():
                 if t := token(w):
                     out[t] += k
-        both = list(words[0].keys() | words[1].keys())
+        every = list(words[0].keys() | words[1].keys() | having.keys())
         chunk = group.column("chunk")[0].as_py()
-        return pa.table(
-            {"chunk": pa.array([chunk] * len(both), pa.int64()), "word": pa.array(both, pa.string()), "d": pa.array([words[0][w] for w in both], pa.int64()), "s": pa.array([words[1][w] for w in both], pa.int64())}
-        )
+        numbers = {name: pa.array([c[w] for w in every], pa.int64()) for name, c in (("d", words[0]), ("s", words[1]), ("h", having))}
+        return pa.table({"chunk": pa.array([chunk] * len(every), pa.int64()), "word": pa.array(every, pa.string()), **numbers})
 
-    counts = cut(spread.groupBy("chunk").applyInArrow(count, "chunk bigint, word string, d bigint, s bigint"))
-    total = counts.groupBy("word").agg(F.sum("d").alias("d"), F.sum("s").alias("s"))
-    all_d, all_s = counts.agg(F.coalesce(F.sum("d"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0))).first()
+    counts = cut(spread.groupBy("chunk").applyInArrow(count, "chunk bigint, word string, d bigint, s bigint, h bigint"))
+    total = counts.where("word <> ''").groupBy("word").agg(*(F.sum(c).alias(c) for c in "dsh"))
+    sums = F.coalesce(F.sum("d"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("word") == "", F.col("h"))), F.lit(0))
+    all_d, all_s, n_scans = counts.agg(*sums).first()
     if all_d < LITTLE:
         proper = F.col("d") + F.col("s") >= FREQUENT
     else:
@@ -325,12 +332,14 @@ def find_faults(texts: DataFrame, text_too: bool = False) -> DataFrame:
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = [alike(w) for w in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.string())], names=["word", "n", "proper", "alike"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.string())], names=["word", "n", "h", "proper", "alike"])
 
-    words = cut(judged.select("word", (F.col("d") + F.col("s")).alias("n"), "proper").mapInArrow(keyed, "word string, n bigint, proper boolean, alike string"))
-    right = words.where("proper and alike <> ''").select("alike", F.col("word").alias("fix"), F.col("n").alias("fix_n"))
+    words = cut(judged.select("word", (F.col("d") + F.col("s")).alias("n"), "h", "proper").mapInArrow(keyed, "word string, n bigint, h bigint, proper boolean, alike string"))
+    right = words.where("proper and alike <> ''").select("alike", F.col("word").alias("fix"), F.col("n").alias("fix_n"), F.col("h").alias("fix_h"))
     near = F.struct(F.levenshtein("word", "fix"), -F.col("fix_n"), "fix")
-    misread = words.where("not proper").join(right, "alike").groupBy("word").agg(F.min_by("fix", near).alias("fix"))
+    found = words.where("not proper").join(right, "alike").groupBy("word", "h").agg(F.min_by("fix", near).alias("fix"), F.max("fix_h").alias("beside"))
+    formal = (F.col("h") >= max(PROPER, COMMON * n_scans)) & (F.col("h") >= BESIDE * F.col("beside"))
+    misread = found.where(~formal).select("word", "fix")
     wanted = counts.select("chunk", "word").join(misread, "word")
     schema = "tbl string, row_id bigint, text string" if text_too else "tbl string, row_id bigint, line_no int, kind string"
 
