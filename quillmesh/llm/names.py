@@ -30,8 +30,8 @@ TITLES = {
 }
 NOBODY = {"", "da ky", "khong ro", "khong co", "chua ro", "n a", "ky ten", "an danh", "vo danh", "dang cap nhat", "khong ten", "null", "none", "xxx", "nguoi ky", "tu"}
 _NOTE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|\bđ/c\b", re.I)
-#: A word is taken for a slip of another if that one is so many times as frequent.
-TYPO_RATIO = 8
+#: A word is taken for a slip of another if that one is so many times as frequent; for one with letters typed for accents, if so many times.
+TYPO_RATIO, TELEX_RATIO = 8, 3
 _TELEX = [("dd", "d"), ("aa", "a"), ("ee", "e"), ("oo", "o"), ("w", "")]
 
 
@@ -77,7 +77,7 @@ def shrunk(name: list[str]) -> list[str]:
     head, *mid = front
     out = [f"2:{' '.join(sorted((w, given)))}" for w in front]
     out += [f"I:{' '.join([*(w[0] for w in front), given])}", f"I:{' '.join([head, *(w[0] for w in mid), given])}"]
-    return [*out, f"C:{''.join(name)}", f"G:{given}"]
+    return [*out, f"C:{''.join(name)}", f"G:{given}", f"N:{' '.join(name)}"]
 
 
 def readings(words: list[list[Word]]) -> list[list[Word]]:
@@ -138,7 +138,7 @@ def _vocabulary(words: DataFrame) -> DataFrame:
             keep = []
             for word, n, other, other_n in zip(*(b.column(k).to_pylist() for k in range(4))):
                 decodes = telex(word) == other
-                if decodes and other_n >= n or other_n >= TYPO_RATIO * n and len(word) > 2 and damerau(word, other) == 1:
+                if decodes and other_n >= TELEX_RATIO * n or other_n >= TYPO_RATIO * n and damerau(word, other) == 1:
                     keep.append((word, other, decodes))
             yield _record(keep, ("word", pa.string()), ("other", pa.string()), ("telex", pa.bool_()))
 
@@ -152,6 +152,23 @@ def _vocabulary(words: DataFrame) -> DataFrame:
     return every.groupBy("word").agg(F.collect_list(F.struct(F.col("other").alias("w"), F.col("first").alias("f"), F.col("last").alias("l"), F.col("mid").alias("m"))).alias("ways"))
 
 
+def _near_names(full: DataFrame) -> DataFrame:
+    """(id, unit, entity, forms) with full names of a unit that differ in one letter of one middle name taken for the more frequent of them.
+
+    Such a slip can make another proper name ("Thường", "Tường"), which corpus counts cannot tell.
+    First and last names are left alone: they tell people of a family apart.
+    """
+    name = F.split(F.substring(F.element_at(F.filter("forms", lambda f: f.startswith("N:")), 1), 3, 10_000), " ")
+    each = full.groupBy("unit", "entity").agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("name")).where(F.size("name") > 2)
+    gaps = F.explode(F.sequence(F.lit(1), F.size("name") - 2))
+    rest = F.array_join(F.concat(F.slice("name", F.lit(1), F.col("i")), F.array(F.lit("*")), F.slice("name", F.col("i") + 2, F.size("name"))), " ")
+    gap = each.withColumn("i", gaps).select("unit", "entity", "n", rest.alias("rest"), F.element_at("name", F.col("i") + 1).alias("w"))
+    other = gap.select("unit", "rest", F.col("entity").alias("to"), F.col("n").alias("m"), F.col("w").alias("v"))
+    met = gap.join(other, ["unit", "rest"]).where((F.levenshtein("w", "v") == 1) & ((F.col("n") < F.col("m")) | (F.col("n") == F.col("m")) & (F.col("entity") > F.col("to"))))
+    to = met.groupBy("unit", "entity").agg(F.max_by("to", F.struct("m", "to")).alias("to"))
+    return full.join(to, ["unit", "entity"], "left").select("id", "unit", F.coalesce("to", "entity").alias("entity"), "forms")
+
+
 def link_people(rows: DataFrame) -> DataFrame:
     """(id, unit, entity) of rows (id, unit, name) that name somebody.
 
@@ -195,10 +212,10 @@ def link_people(rows: DataFrame) -> DataFrame:
     read = full.where("open").join(sure, ["unit", "entity"], "left")
     read = read.groupBy("id", "unit").agg(F.min_by(F.struct("entity", "forms"), F.struct(F.col("sure").isNull(), "rank")).alias("x"))
     full = full.where("not open").select("id", "unit", "entity", "forms").unionByName(read.select("id", "unit", "x.entity", "x.forms"))
+    full = cut(_near_names(full))
     hubs = (
-        full.groupBy("unit", "entity")
-        .agg(F.min("forms").alias("forms"))
-        .select("unit", "entity", F.explode(F.array_distinct("forms")).alias("form"))
+        full.select("unit", "entity", F.explode("forms").alias("form"))
+        .distinct()
         .groupBy("unit", "form")
         .agg(F.count(F.lit(1)).alias("n"), F.min("entity").alias("hub"))
     )
