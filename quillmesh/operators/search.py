@@ -122,10 +122,9 @@ def phrase_or_all(text: str, boost: float = 2.0) -> object:
 
 
 def search(index: TextIndex, query: object, k: int | None = None, k1: float = K1, b: float = B) -> DataFrame:
-    """(key, score, rank) best first; ties by key, so ranks are unique. ``k`` keeps the best of them."""
+    """(key, score) of all hits, or with ``k`` (key, score, rank) of the best; ties by key, so ranks are unique."""
     scored = query.scores(index, k1, b).select("key", F.round("score", 9).alias("score"))
-    best = scored.orderBy(F.desc("score"), "key").limit(k) if k else scored
-    return ranked(best)
+    return ranked(scored.orderBy(F.desc("score"), "key").limit(k)) if k else scored
 
 
 def ranked(scored: DataFrame) -> DataFrame:

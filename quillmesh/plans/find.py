@@ -117,10 +117,10 @@ def tpl_content_title_search(graph: PropertyGraph) -> DataFrame:
 
 def _article_search(graph: PropertyGraph, docs: DataFrame | None, k: int = 20) -> DataFrame:
     """The best articles of the whole index first, then those of ``docs`` (doc_key): weights stay corpus-wide."""
-    hits = _plain(search(index(graph, "article"), Phrase(" ".join(_P)))).join(graph.article.select(F.col("article_id").alias("key"), "doc_key"), "key")
+    hits = search(index(graph, "article"), Phrase(" ".join(_P))).join(graph.article.select(F.col("article_id").alias("key"), "doc_key"), "key")
     if docs is not None:
         hits = hits.join(docs.select("doc_key").distinct(), "doc_key", "left_semi")
-    return hits.orderBy("rank").limit(k).select("key", "doc_key", "score")
+    return hits.orderBy(F.desc("score"), "key").limit(k).select("key", "doc_key", "score")
 
 
 def _in_docs(where: str) -> str:
@@ -217,14 +217,14 @@ def bm25_full_search(graph: PropertyGraph) -> DataFrame:
 
 
 _VEC = (
-    ", dv AS (SELECT doc_key, row_number() OVER (ORDER BY doc_key) - 1 AS vec_id FROM document WHERE is_stub = 0), qv AS (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0), "
+    ", dv AS (SELECT doc_key, rec_id AS vec_id FROM document WHERE is_stub = 0), qv AS (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0), "
     "sim AS (SELECT doc_key AS key, round(list_cosine_similarity(embedding::DOUBLE[], q), 9) AS score FROM embeddings JOIN dv USING (vec_id) CROSS JOIN qv), l2 AS (SELECT key, score, row_number() OVER (ORDER BY score DESC, key) AS rank FROM sim QUALIFY rank <= 500)"
 )
 
 
 def _vectors(graph: PropertyGraph) -> DataFrame:
-    """(key, doc_key, vector): the embeddings, laid on the real documents in the order of their numbers."""
-    docs = graph.document.where("is_stub = 0").select("doc_key", (F.row_number().over(Window.orderBy("doc_key")) - 1).cast("bigint").alias("key"))
+    """(key, doc_key, vector): the embeddings of the real documents, by the id of their record."""
+    docs = graph.document.where("is_stub = 0 and rec_id is not null").select("doc_key", F.col("rec_id").alias("key"))
     vec = graph._table("embeddings").select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector"))
     return vec.join(docs, "key")
 

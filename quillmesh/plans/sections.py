@@ -62,6 +62,26 @@ _both("question_seeds", "SELECT facet, v AS value, n FROM (SELECT 'status' AS fa
 _both("annotation_strata", "SELECT stratum, count(*) AS n FROM (SELECT id, CASE WHEN zone_name = 'can_cu' THEN 'basis' WHEN in_thi_hanh = 1 THEN 'enforcing' ELSE 'rest' END AS stratum FROM (SELECT DISTINCT id, zone_name, in_thi_hanh FROM citations) c) x GROUP BY stratum")
 _both("repeated_blocks", "SELECT rec_id, count(*) AS n_blocks, count(*) - count(DISTINCT line) AS repeated FROM (SELECT rec_id, unnest(string_split(raw_txt, chr(10))) AS line FROM docs) x WHERE length(line) >= 60 GROUP BY rec_id",
       spark="SELECT rec_id, count(*) AS n_blocks, count(*) - count(DISTINCT line) AS repeated FROM (SELECT rec_id, explode(split(raw_txt, '\\n')) AS line FROM docs) x WHERE length(line) >= 60 GROUP BY rec_id")
+_REL = "CASE WHEN HAS(lower(s), 'thay thế|thay cho') THEN '1 REPLACES' WHEN HAS(lower(s), 'bãi bỏ|hết hiệu lực') THEN '2 REPEALS' WHEN HAS(lower(s), 'sửa đổi|bổ sung') THEN '3 AMENDS' END"
+_both(
+    "mined_relations",
+    f"SELECT doc_key, k AS target, substring(min(rel), 3) AS rel FROM (SELECT doc_key, {_REL} AS rel, unnest(ALL(s, '{tables._NUM}')) AS k FROM (SELECT DISTINCT doc_key, unnest(string_split(context, ';')) AS s FROM citations) a) b "
+    "WHERE rel IS NOT NULL AND k <> doc_key GROUP BY doc_key, k",
+    spark=f"SELECT doc_key, k AS target, substring(min(rel), 3) AS rel FROM (SELECT doc_key, {_REL} AS rel, explode(ALL(s, '{tables._NUM}')) AS k FROM (SELECT DISTINCT doc_key, explode(split(context, ';')) AS s FROM citations) a) b "
+    "WHERE rel IS NOT NULL AND k <> doc_key GROUP BY doc_key, k",
+)
+_KEYS = "k AS (SELECT doc_key AS known FROM docs WHERE is_stub = 0 UNION SELECT doc_key FROM docs_seed), u AS (SELECT DISTINCT PLAIN(target_key) AS cited FROM citations WHERE PLAIN(target_key) IS NOT NULL)"
+_TIERS = (
+    "SELECT u.cited, CASE WHEN e.known IS NOT NULL THEN 'verbatim' WHEN f.n = 1 THEN 'folded' WHEN p.n = 1 THEN 'cut short' ELSE 'unknown' END AS tier, coalesce(e.known, CASE WHEN f.n = 1 THEN f.known WHEN p.n = 1 THEN p.known END) AS meant "
+    "FROM u LEFT JOIN k e ON e.known = u.cited LEFT JOIN ff f ON f.fold_key = FOLD(u.cited) LEFT JOIN pp p ON p.cut = u.cited"
+)
+_FF = "ff AS (SELECT FOLD(known) AS fold_key, count(*) AS n, min(known) AS known FROM k GROUP BY FOLD(known))"
+_both(
+    "verify_citations",
+    f"WITH {_KEYS}, {_FF}, pp AS (SELECT u.cited AS cut, count(*) AS n, min(k.known) AS known FROM u JOIN k ON starts_with(k.known, u.cited || '-') OR starts_with(k.known, u.cited || '/') GROUP BY u.cited) {_TIERS}",
+    spark=f"WITH {_KEYS}, {_FF}, pp AS (SELECT cut, count(*) AS n, min(known) AS known FROM (SELECT known, substring(known, 1, pos) AS cut FROM k LATERAL VIEW explode(sequence(1, length(known) - 1)) e AS pos "
+    f"WHERE substring(known, pos + 1, 1) IN ('-', '/')) x GROUP BY cut) {_TIERS}",
+)
 # fixed values: the authority level of a kind of organisation
 _LEVELS = {"quoc_hoi": 1, "chinh_phu": 2, "thu_tuong": 2, "bo_nganh": 3, "dai_hoc_vung": 4, "truong_thanh_vien": 5}
 _CASE = "CASE org_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _LEVELS.items()) + " END"
