@@ -13,8 +13,8 @@ def one(spark, column, *values):
 
 
 def test_plain_number(spark):
-    got = one(spark, plain_number, "Số: 09/2020/TT-BGDĐT", " 2347 / QÐ–ÐHBK ", "số.001/qđ-x", normalize("NFD", "Số 5/NĐ-CƯ"), None, "", "   ", "Số:", "0/A", "57-NQ/TW")
-    assert got == ["9/2020/TT-BGDĐT", "2347/QĐ-ĐHBK", "1/QĐ-X", "5/NĐ-CƯ", None, None, None, None, "0/A", "57-NQ/TW"]
+    got = one(spark, plain_number, "Số: 09/2020/TT-BXYĐT", " 2347 / QÐ–ÐHXY ", "số.001/qđ-x", normalize("NFD", "Số 5/NĐ-CƯ"), None, "", "   ", "Số:", "0/A", "57-NQ/TW")
+    assert got == ["9/2020/TT-BXYĐT", "2347/QĐ-ĐHXY", "1/QĐ-X", "5/NĐ-CƯ", None, None, None, None, "0/A", "57-NQ/TW"]
 
 
 def test_folds(spark):
@@ -30,8 +30,8 @@ def test_dates(spark):
 
 
 def test_number_parts(spark):
-    got = one(spark, text.number_parts, "2347/QĐ-ĐHBK", "3878/BGDĐT-PC", "9/2020/TT-X")
-    assert [tuple(g) for g in got] == [("2347", None, "QĐ", "ĐHBK"), ("3878", None, None, "BGDĐT"), ("9", "2020", "TT", "X")]
+    got = one(spark, text.number_parts, "2347/QĐ-ĐHXY", "3878/BXYĐT-PC", "9/2020/TT-X")
+    assert [tuple(g) for g in got] == [("2347", None, "QĐ", "ĐHXY"), ("3878", None, None, "BXYĐT"), ("9", "2020", "TT", "X")]
 
 
 def test_cleaning(spark):
@@ -41,9 +41,9 @@ def test_cleaning(spark):
 
 
 def test_numbers_in_questions():
-    assert find_document_numbers("Văn bản 2673/QĐ-ĐHBK quy định gì?") == ["2673/QĐ-ĐHBK"]
+    assert find_document_numbers("Văn bản 2673/QĐ-ĐHXY quy định gì?") == ["2673/QĐ-ĐHXY"]
     assert find_document_numbers("Nghị quyết 57-NQ/TW nói gì") == ["57-NQ/TW"]
-    assert find_document_numbers("so sánh 1214/QĐ-ĐHBK với 1214/QĐ-ĐHBK") == ["1214/QĐ-ĐHBK"]
+    assert find_document_numbers("so sánh 1214/QĐ-ĐHXY với 1214/QĐ-ĐHXY") == ["1214/QĐ-ĐHXY"]
     for none in ("Ngày 12/3/2024", "tỷ lệ 3/4", "Lớp 21TCLC/DT1", "COVID-19/SARS"):
         assert find_document_numbers(none) == []
 
