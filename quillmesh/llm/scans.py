@@ -274,9 +274,18 @@ def repaired(text: str, model: LineModel, bad: dict[str, str]) -> str:
     return "\n".join(" ".join(map(fix, p.split())) for p in out if p)
 
 
+class Tokens(dict):
+    """The token of each raw word, worked out once."""
+
+    def __missing__(self, raw: str) -> str:
+        self[raw] = out = token(raw)
+        return out
+
+
 def count_words(texts: list[str]) -> tuple[Counter, Counter, Counter]:
     """(words of digital texts, words of scans, scans that have a word); "" counts the texts."""
     digital, scans, having = Counter(), Counter(), Counter()
+    of = Tokens().__getitem__
     for t in texts:
         t = composed(t)
         words = t.split()
@@ -284,8 +293,8 @@ def count_words(texts: list[str]) -> tuple[Counter, Counter, Counter]:
             digital.update(words)
         else:
             scans.update(words)
-            having.update({t for w in set(words) if (t := token(w))})
-            having[""] += 1
+            # what is no word has the empty token, which is counted as the text itself
+            having.update({"", *map(of, set(words))})
     return digital, scans, having
 
 
