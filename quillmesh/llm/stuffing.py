@@ -2,7 +2,8 @@
 
 From counts over the whole corpus comes the pointwise mutual information (PMI) of neighbouring
 words, and that of a word pair with a document: how many times more often the document has the pair
-than the corpus would lead one to expect. A unit of text (a line, or a sentence of a long line) is
+than the rest of the corpus would lead one to expect. The rest leaves out the documents that repeat
+the pair themselves, so that a large group of spam does not make its own keywords look usual. A unit of text (a line, or a sentence of a long line) is
 no sentence when it is mostly links or tags, when it is set as an offer or a menu path, when most of
 its pairs are collocations that the document repeats excessively, or when its neighbours have less
 in common than chance (word salad). A page is stuffed when such units hold most of its characters.
@@ -29,7 +30,7 @@ from quillmesh.runtime import cut
 
 #: Documents of a chunk.
 CHUNK = 2_000
-#: A pair is repeated excessively when a document has it so often, as such a share of its pairs, and so many times more than expected.
+#: A pair is repeated excessively when a document has it so often, as such a share of its pairs, and so many times more than in the documents that do not repeat it so.
 OFTEN, SHARE, EXCESS = 3, 0.025, 15.0
 #: Shares: of excessive pairs in a unit, of link characters in a unit, of such units in a page.
 REPEATED, LINKED, MOSTLY = 0.4, 0.4, 0.5
@@ -118,20 +119,32 @@ def _pairs(keys: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, pair_keys(keys[at], keys[at + 1]) if len(at) else np.zeros(0, np.int64)
 
 
-def stuffed(texts: list[str | None], words: Words, key: np.ndarray, count: np.ndarray, total: float) -> list[bool]:
-    """Which texts are stuffed, given the corpus counts of all their words and pairs (sorted by key)."""
+def _repeats(keys: np.ndarray, unit: np.ndarray, doc: np.ndarray, at: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each pair: (its count in its document, the words of that, whether that repeats it)."""
+    if not len(at):
+        return np.zeros(0), np.zeros(0), np.zeros(0, bool)
+    in_doc = doc[unit[at]]
+    _, back, times = np.unique(pair_keys(in_doc, pair), return_inverse=True, return_counts=True)
+    mine, size = times[back], np.bincount(doc[unit])[in_doc]
+    return mine, size, (mine >= OFTEN) & (mine >= SHARE * size)
+
+
+def stuffed(texts: list[str | None], words: Words, key: np.ndarray, count: np.ndarray, again: np.ndarray, total: float, rest: float) -> list[bool]:
+    """Which texts are stuffed, given the corpus counts of all their words and pairs (sorted by key).
+
+    ``again`` has the part of each count that is in documents repeating the pair; ``total`` are the
+    words of the corpus, ``rest`` those without all such parts.
+    """
     keys, unit, doc, chars, apart = laid_out(texts, words)
     n_units = len(doc)
     at, pair = _pairs(keys, unit)
     of = lambda k: count[np.searchsorted(key, k)] if len(k) else np.zeros(0)
-    pair_n, left, right = of(pair), of(keys[at]), of(keys[at + 1])
+    where = np.searchsorted(key, pair)
+    pair_n, left, right = count[where], of(keys[at]), of(keys[at + 1])
     pmi = np.log(pair_n * total / (left * right)) if len(pair) else np.zeros(0)
-    # the pair's count in its document against what the corpus has of it
-    in_doc = doc[unit[at]] if len(at) else np.zeros(0, np.int64)
-    _, back, times = np.unique(pair_keys(in_doc, pair), return_inverse=True, return_counts=True)
-    mine = times[back] if len(at) else np.zeros(0)
-    size = np.bincount(doc[unit], minlength=len(texts))[in_doc] if len(at) else np.zeros(0)
-    excess = (mine >= OFTEN) & (mine >= SHARE * size) & (mine * total >= EXCESS * size * pair_n)
+    # the pair's count in its document against what the rest of the corpus has of it
+    mine, size, repeats = _repeats(keys, unit, doc, at, pair)
+    excess = repeats & (mine * rest >= EXCESS * size * np.maximum(pair_n - again[where], 1))
     per = np.bincount(unit[at], minlength=n_units) if len(at) else np.zeros(n_units)
     share = (np.bincount(unit[at], weights=excess, minlength=n_units) if len(at) else np.zeros(n_units)) / np.maximum(per, 1)
     mean = (np.bincount(unit[at], weights=pmi, minlength=n_units) if len(at) else np.zeros(n_units)) / np.maximum(per, 1)
@@ -153,25 +166,27 @@ def find_stuffed(docs: DataFrame) -> DataFrame:
     words = Words()
 
     def count(group: pa.Table) -> pa.Table:
-        keys, unit, *_ = laid_out(group.column("text").to_pylist(), words)
-        _, pair = _pairs(keys, unit)
+        keys, unit, doc, *_ = laid_out(group.column("text").to_pylist(), words)
+        at, pair = _pairs(keys, unit)
         k1, n1 = np.unique(keys, return_counts=True)
-        k2, n2 = np.unique(pair, return_counts=True)
+        k2, back, n2 = np.unique(pair, return_inverse=True, return_counts=True)
+        again = np.bincount(back, weights=_repeats(keys, unit, doc, at, pair)[2], minlength=len(k2)).astype(np.int64)
         key = np.concatenate([k1, k2])
         single = np.concatenate([n1, np.zeros(len(k2), np.int64)])
         chunk = pa.array(np.full(len(key), group.column("chunk")[0].as_py(), np.int64))
-        return pa.table({"chunk": chunk, "key": key, "n": np.concatenate([n1, n2]).astype(np.int64), "words": single.astype(np.int64)})
+        again = np.concatenate([np.zeros(len(k1), np.int64), again])
+        return pa.table({"chunk": chunk, "key": key, "n": np.concatenate([n1, n2]).astype(np.int64), "words": single.astype(np.int64), "again": again})
 
-    counts = spread.groupBy("chunk").applyInArrow(count, "chunk bigint, key bigint, n bigint, words bigint")
+    counts = spread.groupBy("chunk").applyInArrow(count, "chunk bigint, key bigint, n bigint, words bigint, again bigint")
     counts = cut(counts)
-    total = float(counts.agg(F.sum("words")).first()[0] or 1)
-    sums = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    total, repeated = (float(x or 0) for x in counts.agg(F.sum("words"), F.sum("again")).first())
+    sums = counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("again").alias("again"))
     wanted = counts.select("chunk", "key").join(sums, "key")
 
     def judge(texts: pa.Table, known: pa.Table) -> pa.Table:
-        key, n = known.column("key").to_numpy(), known.column("n").to_numpy()
+        key, n, again = (known.column(c).to_numpy() for c in ("key", "n", "again"))
         order = np.argsort(key)
-        bad = stuffed(texts.column("text").to_pylist(), words, key[order], n[order].astype(float), total)
+        bad = stuffed(texts.column("text").to_pylist(), words, key[order], n[order].astype(float), again[order], total, total - repeated)
         return pa.table({"doc_id": texts.column("doc_id").filter(pa.array(bad, pa.bool_()))})
 
     found = spread.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(judge, "doc_id bigint")

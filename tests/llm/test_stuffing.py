@@ -55,6 +55,14 @@ def test_chunks_change_nothing(spark, monkeypatch):
     assert {r["doc_id"] for r in find_stuffed(df).collect()} == bad
 
 
+def test_a_third_of_the_rows_is_spam_of_one_source(spark):
+    docs, bad = made()
+    rng = random.Random(4)
+    hot = {5000 + i: "Từ khóa: " + "; ".join(rng.choice(SPAM[:2]) for _ in range(60)) for i in range(160)}
+    df = spark.createDataFrame(list((docs | hot).items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in find_stuffed(df).collect()} == bad | set(hot)
+
+
 def test_empty(spark):
     assert find_stuffed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert find_stuffed(spark.createDataFrame([(1, "x " * 200000)], "doc_id long, text string")).count() <= 1
