@@ -282,19 +282,20 @@ class Tokens(dict):
         return out
 
 
-def count_words(texts: list[str]) -> tuple[Counter, Counter, Counter]:
-    """(words of digital texts, words of scans, scans that have a word); "" counts the texts."""
+def count_words(texts: list[str], first: list[bool]) -> tuple[Counter, Counter, Counter]:
+    """(words of digital texts, words of scans, ``first`` scans that have a word); "" counts these."""
     digital, scans, having = Counter(), Counter(), Counter()
     of = Tokens().__getitem__
-    for t in texts:
+    for t, counted in zip(texts, first):
         t = composed(t)
         words = t.split()
         if max(map(len, t.split("\n"))) > WRAPPED:
             digital.update(words)
         else:
             scans.update(words)
-            # what is no word has the empty token, which is counted as the text itself
-            having.update({"", *map(of, set(words))})
+            if counted:
+                # what is no word has the empty token, which is counted as the text itself
+                having.update({"", *map(of, set(words))})
     return digital, scans, having
 
 
@@ -302,12 +303,20 @@ def _spread(texts: DataFrame, chunks: int) -> DataFrame:
     return texts.where("text is not null and text <> ''").withColumn("chunk", F.pmod(F.xxhash64("tbl", "row_id"), F.lit(chunks)))
 
 
+def _firsts(spread: DataFrame) -> DataFrame:
+    """(chunk, tbl, row_id): one row of those with the same longest line, which are copies or crawls of one text."""
+    longest = F.array_max(F.transform(F.split("text", "\n"), lambda s: F.struct(F.length(s), F.trim(s))))
+    rows = spread.groupBy(F.xxhash64(longest).alias("same")).agg(F.min(F.struct("tbl", "row_id", "chunk")).alias("x"))
+    return rows.select("x.chunk", "x.tbl", "x.row_id")
+
+
 def find_faults(texts: DataFrame, text_too: bool = False) -> DataFrame:
     """(tbl, row_id, line_no, kind) of the faulty lines of (tbl, row_id, text); with ``text_too`` (tbl, row_id, text) repaired.
 
     Lines are counted from 1 after splitting at newlines only. Null and empty texts have no lines;
     repeated rows give each fault once. Words are counted over the whole corpus, chunk by chunk;
-    what is found to be misread goes back only to the chunks that have it.
+    what is found to be misread goes back only to the chunks that have it. In how many scans a word
+    stands is counted over different texts, so that copies do not turn a misreading into their form.
     """
     n = texts.count()
     chunks = max(1, -(-n // CHUNK))
@@ -316,8 +325,13 @@ def find_faults(texts: DataFrame, text_too: bool = False) -> DataFrame:
     model = fit([r[0] for r in some.select("text").limit(2 * SAMPLE).collect()])
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
-    def count(group: pa.Table) -> pa.Table:
-        digital, scans, having = count_words(group.column("text").to_pylist())
+    def count(group: pa.Table, firsts: pa.Table) -> pa.Table:
+        left = set(zip(firsts.column("tbl").to_pylist(), firsts.column("row_id").to_pylist()))
+        first = []
+        for row in zip(group.column("tbl").to_pylist(), group.column("row_id").to_pylist()):
+            first.append(row in left)
+            left.discard(row)
+        digital, scans, having = count_words(group.column("text").to_pylist(), first)
         words = Counter(), Counter()
         for out, raw in zip(words, (digital, scans)):
             for w, k in raw.items():
@@ -328,7 +342,8 @@ def find_faults(texts: DataFrame, text_too: bool = False) -> DataFrame:
         numbers = {name: pa.array([c[w] for w in every], pa.int64()) for name, c in (("d", words[0]), ("s", words[1]), ("h", having))}
         return pa.table({"chunk": pa.array([chunk] * len(every), pa.int64()), "word": pa.array(every, pa.string()), **numbers})
 
-    counts = cut(spread.groupBy("chunk").applyInArrow(count, "chunk bigint, word string, d bigint, s bigint, h bigint"))
+    both = spread.groupBy("chunk").cogroup(_firsts(spread).groupBy("chunk"))
+    counts = cut(both.applyInArrow(count, "chunk bigint, word string, d bigint, s bigint, h bigint"))
     total = counts.where("word <> ''").groupBy("word").agg(*(F.sum(c).alias(c) for c in "dsh"))
     sums = F.coalesce(F.sum("d"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("word") == "", F.col("h"))), F.lit(0))
     all_d, all_s, n_scans = counts.agg(*sums).first()

@@ -63,6 +63,16 @@ def test_faults(spark):
     assert len(set(got) & set(want)) >= 0.98 * len(want) and len(set(got) - set(want)) <= 0.02 * len(want)
 
 
+def test_copies_of_a_scan_do_not_make_its_misreadings_a_form(spark):
+    rows, _ = corpus()
+    rows += [("docs", 50 + i, "Ban quản lý phải nộp danh mục nhạc cụ cho thư viện trung tâm. " * 5, "x") for i in range(5)]
+    text = "BỘ HỌC CHÍNH\nBan quản lý phải kiểm kê danh mục tạp chí và hồ sơ\nNgười học nên công khai danh mục nliạc cụ\ntrong vòng 9 giờ."
+    hot = range(1000, 1000 + len(rows) // 2)
+    rows += [("docs", i, text, "x") for i in hot]
+    got = {(r["row_id"], r["line_no"]) for r in find_faults(spark.createDataFrame(rows, SCHEMA)).collect() if r["kind"] == "misread"}
+    assert {(i, 3) for i in hot} <= got
+
+
 def test_repair(spark):
     rows, _ = corpus()
     out = {r["row_id"]: r["text"] for r in find_faults(spark.createDataFrame(rows, SCHEMA), text_too=True).collect()}
