@@ -99,7 +99,7 @@ _ALL = "SELECT DISTINCT src AS n FROM edge WHERE rel IN ('AMENDS', 'REPLACES')"
 @_query(f"{_walk(_CHAIN, 4, _ALL)} SELECT depth, count(*) AS n FROM w WHERE depth > 0 GROUP BY depth")
 def b10_amends_replaces_depth_distribution(graph: PropertyGraph) -> DataFrame:
     """The number of trails of each length: paths, not pairs."""
-    return trails(_rels(graph, "AMENDS", "REPLACES"), 1, 4).groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
+    return trails(_rels(graph, "AMENDS", "REPLACES"), 1, 5).groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
 
 
 _REP = "SELECT DISTINCT src AS n FROM edge WHERE rel = 'REPLACES' AND src NOT IN (SELECT dst FROM edge WHERE rel = 'REPLACES')"
