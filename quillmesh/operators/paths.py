@@ -51,9 +51,10 @@ def reversed_edges(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst").alias("src"), "rel", F.col("src").alias("dst"))
 
 
-def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 20) -> DataFrame:
+def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 20, tolerance: float | None = None) -> DataFrame:
     """(node, rank) after ``rounds`` of the power method over distinct (src, dst), dangling mass spread evenly.
 
+    With a ``tolerance`` it ends as soon as a round changes all ranks together by less than that.
     Loops and null ends are left out; ranks add up to one; an empty graph gives an empty result.
     """
     e = cut(edges.where("src is not null and dst is not null and src <> dst").select("src", "dst").distinct())
@@ -66,8 +67,14 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 20) -> DataFra
         gone = F.sum(F.when(F.col("out").isNull(), F.col("rank"))).alias("gone")
         dangling = rank.agg(gone).first()[0] or 0.0
         sent = e.join(rank.select(F.col("node").alias("src"), (F.col("rank") / F.col("out")).alias("share")), "src").groupBy(F.col("dst").alias("node")).agg(F.sum("share").alias("got"))
-        rank = nodes.join(sent, "node", "left").select("node", "out", (F.lit((1 - alpha) / n + alpha * dangling / n) + alpha * F.coalesce("got", F.lit(0.0))).alias("rank"))
-        rank = cut(rank)
+        base = nodes if tolerance is None else rank.withColumnRenamed("rank", "old")
+        new = (F.lit((1 - alpha) / n + alpha * dangling / n) + alpha * F.coalesce("got", F.lit(0.0))).alias("rank")
+        rank = cut(base.join(sent, "node", "left").select("node", "out", new, *([] if tolerance is None else ["old"])))
+        if tolerance is not None:
+            moved = rank.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
+            rank = rank.drop("old")
+            if moved < tolerance:
+                break
     return rank.select("node", "rank")
 
 

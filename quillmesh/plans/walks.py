@@ -171,8 +171,8 @@ def same_basis_clusters(graph: PropertyGraph) -> DataFrame:
     SELECT n AS doc_key, round(r, 9) AS rank FROM pr WHERE it = 8"""
 )
 def document_pagerank(graph: PropertyGraph) -> DataFrame:
-    """PageRank of the citation graph after eight rounds."""
-    return pagerank(graph.edge, rounds=8).select(F.col("node").alias("doc_key"), F.round("rank", 9).alias("rank"))
+    """PageRank of the citation graph, iterated until a round moves less than a millionth of all rank."""
+    return pagerank(graph.edge, rounds=100, tolerance=1e-6).select(F.col("node").alias("doc_key"), F.round("rank", 9).alias("rank"))
 
 
 @_query(
