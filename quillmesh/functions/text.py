@@ -61,27 +61,31 @@ def accent_share(c: Column, least: int = 200) -> Column:
     return F.when(letters < least, F.lit(-1.0)).otherwise(marked / letters)
 
 
+# fixed values: the type codes of document numbers
+TYPE_CODES = ["QH", "UBTVQH", "NĐ", "TT", "TTLT", "QĐ", "NQ", "CT", "HD", "KH", "VBHN", "L"]
+
+
 def number_parts(c: Column) -> Column:
     """A plain document number as (num, year, type_code, org_code); missing parts null.
 
-    123/QĐ-ABC, 12/2020/TT-ABC and 345/ABC-VP (no type) are read; anything else gives nulls but num.
+    After the number and a year of four digits, what stands before the first dash is the type if it
+    is one of TYPE_CODES, accents or not, and the rest the organisation; else all of it is the
+    organisation's (a letter without a type). The assembly's number, QH and a term, is both.
     """
-    part = lambda pattern, k: F.nullif(F.regexp_extract(c, pattern, k), F.lit(""))
-    full = r"^(\d+)/(?:(\d{4})/)?([^/-]+)-(.+)$"
-    kind = part(full, 3)
-    known = kind.isin(*TYPE_CODES)
+    part = lambda s, pattern, k: F.nullif(F.regexp_extract(s, pattern, k), F.lit(""))
+    shape = r"^([0-9]+)(?:/([0-9]{4})(?=/|$))?(?:/(.+))?$"
+    tail = part(c, shape, 3)
+    head, rest = F.regexp_extract(tail, "^([^-]*)", 1), part(tail, "^[^-]*-(.+)$", 1)
+    known = F.upper(deaccent(head)).isin(*(x.replace("Đ", "D") for x in TYPE_CODES))
+    assembly = tail.rlike("^QH[0-9]*$")
     return F.struct(
-        part(r"^(\d+)", 1).alias("num"),
-        part(full, 2).alias("year"),
-        F.when(known, kind).alias("type_code"),
-        F.when(known, part(full, 4)).otherwise(F.coalesce(kind, F.lit(None))).alias("org_code"),
+        part(c, shape, 1).alias("num"),
+        part(c, shape, 2).alias("year"),
+        F.when(assembly, F.lit("QH")).when(known, head).alias("type_code"),
+        F.when(assembly, tail).when(known, rest).otherwise(tail).alias("org_code"),
     )
 
 
-# fixed values: the type codes of document numbers
-TYPE_CODES = ["HP", "L", "PL", "LE", "NĐ", "NQ", "QĐ", "QC", "TT", "TTLT", "CT", "HD", "KH", "VBHN", "CV"]
-
-
 def clean_page(c: Column) -> Column:
     """Unix line ends, no blanks before them, at most one empty line in a row."""
     s = F.regexp_replace(c, "\r\n?", "\n")

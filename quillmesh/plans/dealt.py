@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions.numbers import PLAIN_NUMBER_SQL, plain_number
 from quillmesh.operators.hierarchy import descendants, hierarchy, subtree_sizes
-from quillmesh.operators.orphans import find_orphans
+from quillmesh.operators.orphans import play
 from quillmesh.runtime import table
 
 
 def _ledger(spark: SparkSession, folder: str):
-    return find_orphans(table(spark, folder, "citations"), table(spark, folder, "docs"), table(spark, folder, "docs_seed"))
+    return play(table(spark, folder, "citations"), table(spark, folder, "docs"), table(spark, folder, "docs_seed"))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:

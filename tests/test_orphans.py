@@ -3,10 +3,10 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from quillmesh.operators.orphans import OrphanLedger, find_orphans, parent_rows, reference_rows
+from quillmesh.operators.orphans import OrphanLedger, find_orphans, parent_rows, play, reference_rows
 
-DOCS = "doc_key string, is_stub int, crawled_at timestamp, deleted_at timestamp, key string, cause string"
-CITES = "id long, target_key string, scanned_at timestamp, key string, at string, salt int, cause string"
+DOCS = "rec_id long, doc_key string, is_stub int, crawled_at timestamp, deleted_at timestamp, key string, cause string"
+CITES = "id long, target_key string, scanned_at timestamp, ingested_at timestamp, key string, at string, salt int, cause string"
 DAY = datetime(2023, 1, 1)
 
 
@@ -41,8 +41,8 @@ def brute(cites, docs, seeds):
 
 
 def frames(spark, cites, docs, seeds):
-    c = spark.createDataFrame([(*r, "x", "y", 1, "z") for r in cites], CITES)
-    d = spark.createDataFrame([(*r, "x", "y") for r in docs], DOCS)
+    c = spark.createDataFrame([(*r, r[2] and r[2] + timedelta(days=r[0] % 9), "x", "y", 1, "z") for r in cites], CITES)
+    d = spark.createDataFrame([(*(r if len(r) == 5 else (i, *r)), "x", "y") for i, r in enumerate(docs)], DOCS)
     return c, d, spark.createDataFrame([(s,) for s in seeds], "doc_key string")
 
 
@@ -60,34 +60,56 @@ def made(seed, n=300):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_brute_force(spark, seed):
     cites, docs, seeds = made(seed)
-    got = find_orphans(*frames(spark, cites, docs, seeds)).orphans().collect()
-    assert len(got) == len({r["id"] for r in got})
-    assert {r["id"]: r["cause"] for r in got} == brute(cites, docs, seeds)
-
-
-def test_slices_give_the_same_state(spark):
-    cites, docs, seeds = made(3, 120)
-    c, d, s = frames(spark, cites, docs, seeds)
-    ledger = OrphanLedger.empty(spark)
-    ledger = ledger.advance(references=reference_rows(frames(spark, cites[:100], [], [])[0]))
-    assert {r["cause"] for r in ledger.orphans().collect()} == {"missing"}
-    ledger = ledger.advance(parents=parent_rows(frames(spark, [], docs[:20], [])[1], None))
-    ledger = ledger.advance(references=reference_rows(frames(spark, cites[100:], [], [])[0]), parents=parent_rows(frames(spark, [], docs[20:], [])[1], s))
-    whole = find_orphans(c, d, s)
-    assert {tuple(r) for r in ledger.orphans().collect()} == {tuple(r) for r in whole.orphans().collect()}
+    tables = frames(spark, cites, docs, seeds)
+    for ledger in (find_orphans(*tables), play(*tables)):
+        got = ledger.orphans().collect()
+        assert len(got) == len({r["id"] for r in got})
+        assert {r["id"]: r["cause"] for r in got} == brute(cites, docs, seeds)
+
+
+def test_slices_with_changed_rows_give_the_last_state(spark):
+    """Rows are seen again: crawled, deleted, taken for a stub, given another number; citations come again too."""
+    rng = random.Random(3)
+    cites, docs, seeds = made(3, 90)
+    docs = docs[:25]
+    ledger, current = OrphanLedger.empty(spark), {}
+    for part in range(4):
+        some = {}
+        for i in rng.sample(range(len(docs)), 12):
+            k, stub, crawled, gone = current.get(i, docs[i])
+            if i in current:
+                change = rng.randrange(4)
+                gone = [day(rng.randint(0, 70)), None, gone, gone][change]
+                stub = 1 - stub if change == 2 else stub
+                k = f"{rng.randrange(12)}/QĐ-A" if change == 3 else k
+            some[i] = (k, stub, crawled, gone)
+        current |= some
+        mine = [c for c in cites if c[0] % 4 == part or c[0] % 7 == 0]
+        ledger = ledger.advance(reference_rows(frames(spark, mine, [], [])[0]), parent_rows(frames(spark, [], [(i, *d) for i, d in some.items()], [])[1], frames(spark, [], [], seeds)[2] if part == 2 else None))
+    got = {r["id"]: r["cause"] for r in ledger.orphans().collect()}
+    assert got == brute(cites, list(current.values()), seeds)
+    whole = find_orphans(*frames(spark, cites, [(i, *d) for i, d in current.items()], seeds))
     assert {tuple(r) for r in ledger.snapshot().collect()} == {tuple(r) for r in whole.snapshot().collect()}
 
 
 def test_deletion_reopens(spark):
-    c, d, s = frames(spark, [(1, "1/A-B", day(10))], [("1/A-B", 0, day(1), None)], [])
+    c, d, s = frames(spark, [(1, "1/A-B", day(10)), (2, "1/A-B", day(3))], [(7, "1/A-B", 0, day(1), None)], [])
     ledger = OrphanLedger.empty(spark).advance(reference_rows(c), parent_rows(d, s))
     assert ledger.orphans().count() == 0
-    gone = frames(spark, [], [("2/A-B", 0, day(1), day(2))], [])[1]
-    assert ledger.advance(parents=parent_rows(gone, None)).orphans().count() == 0
+    gone = lambda *row: parent_rows(frames(spark, [], [row], [])[1], None)
+    ledger = ledger.advance(parents=gone(7, "1/A-B", 0, day(1), day(5)))
+    assert [tuple(r) for r in ledger.orphans().collect()] == [(1, "deleted")]
+    ledger = ledger.advance(parents=gone(8, "2/A-B", 0, day(1), day(2)))
+    assert [tuple(r) for r in ledger.orphans().collect()] == [(1, "deleted")]
+    ledger = ledger.advance(parents=gone(9, "1/A-B", 0, day(8), None))
+    assert ledger.orphans().count() == 0
+    ledger = ledger.advance(parents=gone(9, "3/A-B", 0, day(8), None))
+    assert [tuple(r) for r in ledger.orphans().collect()] == [(1, "deleted")]
 
 
 def test_empty_tables(spark):
     c, d, s = frames(spark, [], [], [])
-    assert find_orphans(c, d, s).orphans().count() == 0
+    assert find_orphans(c, d, s).orphans().count() == 0 and play(c, d, s).orphans().count() == 0
     c, _, _ = frames(spark, [(1, "1/A-B", None)], [], [])
     assert [tuple(r) for r in find_orphans(c, d, s).orphans().collect()] == [(1, "missing")]
+    assert [tuple(r) for r in play(c, d, s).orphans().collect()] == [(1, "missing")]

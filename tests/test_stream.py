@@ -1,3 +1,5 @@
+import pytest
+
 from quillmesh.operators.orphans import find_orphans
 from quillmesh.streaming.ledger import LedgerStore, follow_citations, windowed_counts
 
@@ -12,6 +14,9 @@ def test_ledger_follows_files(spark, small, tmp_path):
     last = q.lastProgress["batchId"]
     got = LedgerStore(spark, str(tmp_path / "state")).load(last).orphans()
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in find_orphans(c, d, s).orphans().collect()}
+    with pytest.raises(Exception):
+        LedgerStore(spark, str(tmp_path / "state")).load(last + 5)
+    assert not (tmp_path / "state" / str(last - 2)).exists()
 
 
 def test_windows(spark, small):
