@@ -5,18 +5,20 @@ forms of the entries (name, code, name with runs of words cut to initials). What
 goes through a BK-tree over the entries: its metric is Levenshtein's, whose triangle inequality
 prunes the tree and returns every entry within the radius; of these the Damerau distance, in which
 a swap of neighbours counts one, must be within the threshold. The tree is searched by whole
-batches of values, a node comparing all values that reach it at once.
+batches of values, a node comparing all values that reach it at once. All hits of a value are judged by
+one rule (``decide``), whether they come from one tree or from the shards of a long list.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.llm.fold import fold_words
@@ -37,26 +39,18 @@ def damerau(a: str, b: str) -> int:
     """Edits of one letter and swaps of neighbours, without limits (a metric)."""
     last: dict[str, int] = {}
     big = len(a) + len(b)
-    d = {(-1, -1): big}
-    for i in range(len(a) + 1):
-        d[i, -1], d[i, 0] = big, i
-    for j in range(len(b) + 1):
-        d[-1, j], d[0, j] = big, j
-    for i in range(1, len(a) + 1):
-        swap = 0
-        for j in range(1, len(b) + 1):
-            k, m = last.get(b[j - 1], 0), swap
-            same = a[i - 1] == b[j - 1]
-            if same:
+    # row and column 0 stand for "before the word", 1 for the empty word
+    d = [[big] * (len(b) + 2)] + [[big, i] + [0] * len(b) for i in range(len(a) + 1)]
+    d[1][1:] = range(len(b) + 1)
+    for i, x in enumerate(a, 1):
+        swap, above, row = 0, d[i], d[i + 1]
+        for j, y in enumerate(b, 1):
+            k, m = last.get(y, 0), swap
+            if x == y:
                 swap = j
-            d[i, j] = min(
-                d[i - 1, j - 1] + (not same),
-                d[i, j - 1] + 1,
-                d[i - 1, j] + 1,
-                d[k - 1, m - 1] + (i - k - 1) + 1 + (j - m - 1),
-            )
-        last[a[i - 1]] = i
-    return d[len(a), len(b)]
+            row[j + 1] = min(above[j] + (x != y), row[j] + 1, above[j + 1] + 1, d[k][m] + (i - k - 1) + 1 + (j - m - 1))
+        last[x] = i
+    return d[-1][-1]
 
 
 def allowed(length: int) -> int:
@@ -140,26 +134,29 @@ def _initials(words: list[str]) -> set[str]:
     return out
 
 
+#: Kinds of hits, each going before the next: by a code as typed, by a whole name, by a short form, by edits.
+LETTERS, FULL, SHORT, NEAR = range(4)
+
+
 class Reference:
     """The forms of a reference list of (code to give, name, short code or None)."""
 
     def __init__(self, entries: list[tuple[str, str, str | None]]):
         self.names = {name for _, name, _ in entries}
-        self.exact: dict[str, set[str]] = {}
         self.full: dict[str, set[str]] = {}
         self.letters: dict[str, set[str]] = {}
-        short: dict[str, set[str]] = {}
+        self.short: dict[str, set[str]] = {}
         for code, name, abbr in entries:
             words = fold_words(name)
             self.full.setdefault(" ".join(words), set()).add(code)
             for other in (abbr, code):
                 if other:
                     self.letters.setdefault(normalize("NFC", other).upper(), set()).add(code)
-                    short.setdefault(" ".join(fold_words(other)), set()).add(code)
+                    self.short.setdefault(" ".join(fold_words(other)), set()).add(code)
             for form in _initials(words):
-                short.setdefault(form, set()).add(code)
-        self.exact = short | {k: v | short.get(k, set()) if len(v) > 1 else v for k, v in self.full.items()}
+                self.short.setdefault(form, set()).add(code)
         self.tree = BkTree(list(self.full))
+        self.longest = max(map(len, self.full), default=0)
 
     @staticmethod
     def _forms(value: str) -> list[str]:
@@ -184,33 +181,65 @@ class Reference:
         forms += [" ".join(fold_words(t)) for t in inside]
         return [f for f in dict.fromkeys(forms) if f]
 
-    def resolve(self, values: list[str]) -> list[str]:
-        """The code of the entry meant by each value, or NO_ENTRY."""
-        out, open_ = [NO_ENTRY] * len(values), []
+    def hits(self, values: list[str]) -> list[tuple[int, int, int, int, str]]:
+        """(index of value, kind, rank of the form, edits, code) of all that the entries offer.
+
+        A form longer than every name by more than it may have edits is near none, and is not padded
+        to be searched.
+        """
+        out, open_ = [], []
         for i, v in enumerate(values):
-            found = self.letters.get(normalize("NFC", v).strip(" .;:,").upper(), set())
-            forms = self._forms(v)
-            if len(found) != 1:
-                found = next((e for f in forms if len(e := self.exact.get(f, set())) == 1), set())
-            if len(found) == 1:
-                out[i] = next(iter(found))
-            else:
-                open_ += [(i, k, f) for k, f in enumerate(forms) if allowed(len(f))]
+            out += [(i, LETTERS, 0, 0, c) for c in self.letters.get(normalize("NFC", v).strip(" .;:,").upper(), ())]
+            for k, f in enumerate(self._forms(v)):
+                out += [(i, FULL, k, 0, c) for c in self.full.get(f, ())]
+                out += [(i, SHORT, k, 0, c) for c in self.short.get(f, ())]
+                if allowed(len(f)) and len(f) <= self.longest + allowed(len(f)):
+                    open_.append((i, k, f))
         near = self.tree.within([f for _, _, f in open_], [2 * allowed(len(f)) for _, _, f in open_])
-        best: dict[int, tuple] = {}
         for (i, k, f), names in zip(open_, near):
             for name in names:
                 d = damerau(f, name)
                 if d <= allowed(min(len(f), len(name))):
-                    for code in self.full[name]:
-                        if i not in best or (d, k) < best[i][:2]:
-                            best[i] = (d, k, code)
-                        elif (d, k) == best[i][:2] and code != best[i][2]:
-                            best[i] = (d, k, NO_ENTRY)
-        for i, (_, _, code) in best.items():
-            out[i] = code
+                    out += [(i, NEAR, k, d, c) for c in self.full[name]]
         return out
 
+    def resolve(self, values: list[str]) -> list[str]:
+        """The code of the entry meant by each value, or NO_ENTRY."""
+        per: list[list[tuple]] = [[] for _ in values]
+        for i, *hit in self.hits(values):
+            per[i].append(tuple(hit))
+        return list(map(decide, per))
+
+
+def decide(hits: list[tuple[int, int, int, str]]) -> str:
+    """The one code that the hits (kind, rank, edits, code) of a value speak for, or NO_ENTRY.
+
+    A code as typed goes first, then the plainest form that is a whole name or, if it is nobody's
+    whole name, a short form; then the fewest edits, then the plainest form. What two entries share
+    speaks for neither.
+    """
+    codes: dict[tuple[int, int, int], set[str]] = {}
+    for kind, rank, d, code in hits:
+        codes.setdefault((kind, rank, d), set()).add(code)
+    for kind, rank, d in sorted(codes, key=lambda x: (x[0] > LETTERS, x[0] == NEAR, x[2], x[1], x[0])):
+        of = codes[kind, rank, d]
+        if kind == NEAR:
+            return next(iter(of)) if len(of) == 1 else NO_ENTRY
+        if len(of) == 1 and not (kind == SHORT and (FULL, rank, 0) in codes):
+            return next(iter(of))
+    return NO_ENTRY
+
+
+_HELD: dict[str, Reference] = {}
+
+
+def held(token: str, entries: list[tuple[str, str, str | None]]) -> Reference:
+    """The reference list ``token``, built once in each Python worker."""
+    if token not in _HELD:
+        _HELD.clear()
+        _HELD[token] = Reference(entries)
+    return _HELD[token]
+
 
 def map_values(values: DataFrame, reference: DataFrame) -> DataFrame:
     """(rec_id, field_name, ref_code) of rows (rec_id, field_name, value), against (code, name, short).
@@ -219,45 +248,56 @@ def map_values(values: DataFrame, reference: DataFrame) -> DataFrame:
     rows. A value that fits two entries equally well, or none, gives NO_ENTRY. Repeated rows stay;
     an empty list gives NO_ENTRY for all. A list of up to SHARD entries is one broadcast tree and
     takes no shuffle (each batch resolves its distinct values once). A longer one is cut into
-    shards; every value visits every shard, and the shards' winners are merged by distance.
+    shards; every distinct value visits every shard, and what all shards offer is decided by the
+    same rule, so the size of the list changes no result.
     """
-    entries = [tuple(r) for r in reference.select("code", "name", "short").limit(SHARD + 1).collect()]
+    entries = [tuple(r) for r in reference.select("code", "name", "short").where("code is not null and name is not null").limit(SHARD + 1).collect()]
+    # Unicode white space, and the separators that Python counts as such
+    values = values.where(F.col("value").rlike(r"[^\p{IsWhite_Space}\x1c-\x1f]"))
     if len(entries) > SHARD:
         return _sharded(values, reference)
+    token = uuid.uuid4().hex
     shared = values.sparkSession.sparkContext.broadcast(entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ref, known = Reference(shared.value), {}
+        ref, known = held(token, shared.value), {}
         for b in batches:
             typed = b.column(2).to_pylist()
-            ask = [v for v in dict.fromkeys(typed) if v is not None and v.strip() and v not in ref.names and v not in known]
+            ask = [v for v in dict.fromkeys(typed) if v not in ref.names and v not in known]
             known.update(zip(ask, ref.resolve(ask)))
             at = pa.array([i for i, v in enumerate(typed) if v in known], pa.int32())
             codes = pa.array([known[v] for v in typed if v in known], pa.string())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), codes], names=["rec_id", "field_name", "ref_code"])
+            if len(known) > 200_000:
+                known.clear()
 
     return values.select("rec_id", "field_name", "value").mapInArrow(run, "rec_id bigint, field_name string, ref_code string")
 
 
 def _sharded(values: DataFrame, reference: DataFrame, chunk: int = 20_000) -> DataFrame:
-    """``map_values`` for a list too long to broadcast: distinct values x shards, winners merged."""
-    n = reference.count()
-    shards = -(-n // SHARD)
-    typed = values.where("value is not null and trim(value) <> ''").join(reference.select(F.col("name").alias("value")), "value", "left_anti")
+    """``map_values`` for a list too long to broadcast: distinct values x shards, then ``decide`` over what all shards offer."""
+    reference = reference.where("code is not null and name is not null")
+    shards = -(-reference.count() // SHARD)
+    typed = values.join(reference.select(F.col("name").alias("value")), "value", "left_anti")
     distinct = typed.select("value").distinct()
     chunks = max(1, -(-distinct.count() // chunk))
     one = lambda k, c: F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(c)
     left = distinct.select("value", F.pmod(F.xxhash64("value"), F.lit(chunks)).cast("int").alias("chunk"), one(shards, "shard"))
     right = reference.select("code", "name", "short", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int").alias("shard"), one(chunks, "chunk"))
 
-    def search(a, b):
-        import pandas as pd
-
-        ref = Reference(list(b[["code", "name", "short"]].itertuples(index=False, name=None)))
-        got = ref.resolve(a["value"].tolist()) if len(a) else []
-        near = [min((damerau(" ".join(fold_words(v)), k) for k, c in ref.full.items() if g in c), default=99) if g != NO_ENTRY else 99 for v, g in zip(a["value"], got)]
-        return pd.DataFrame({"value": a["value"], "ref_code": got, "d": near})
-
-    won = left.groupBy("shard", "chunk").cogroup(right.groupBy("shard", "chunk")).applyInPandas(search, "value string, ref_code string, d long")
-    best = won.groupBy("value").agg(F.min_by("ref_code", F.struct("d", "ref_code")).alias("ref_code"))
-    return typed.join(best, "value").select("rec_id", "field_name", "ref_code")
+    def search(a: pa.Table, b: pa.Table) -> pa.Table:
+        ref = Reference(list(zip(*(b.column(c).to_pylist() for c in ("code", "name", "short")))))
+        asked = a.column("value").to_pylist()
+        rows = [(asked[i], *hit) for i, *hit in ref.hits(asked)]
+        cols = zip(*rows) if rows else [()] * 5
+        types = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string())
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("value", "kind", "rank", "d", "code"), cols, types)})
+
+    hits = left.groupBy("shard", "chunk").cogroup(right.groupBy("shard", "chunk")).applyInArrow(search, "value string, kind int, rank int, d int, code string")
+    # of each kind, form and number of edits: the code, null where entries share it
+    agreed = hits.groupBy("value", "kind", "rank", "d").agg(F.when(F.min("code") == F.max("code"), F.min("code")).alias("code"))
+    agreed = agreed.withColumn("whole", F.max((F.col("kind") == FULL).cast("int")).over(Window.partitionBy("value", "rank")))
+    speaks = F.col("code").isNotNull() & ~((F.col("kind") == SHORT) & (F.col("whole") == 1)) | (F.col("kind") == NEAR)
+    order = F.struct((F.col("kind") > LETTERS).alias("a"), (F.col("kind") == NEAR).alias("b"), "d", "rank", "kind")
+    best = agreed.where(speaks).groupBy("value").agg(F.min_by(F.coalesce("code", F.lit(NO_ENTRY)), order).alias("ref_code"))
+    return typed.join(best, "value", "left").select("rec_id", "field_name", F.coalesce("ref_code", F.lit(NO_ENTRY)).alias("ref_code"))

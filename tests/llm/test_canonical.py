@@ -62,8 +62,18 @@ def test_mapping(spark):
     assert {r["ref_code"] for r in C.map_values(v, ref.limit(0)).collect()} == {"NONE"}
 
 
-def test_shards_give_the_same(spark, monkeypatch):
-    v, ref = frames(spark, ["bo hoc chin", "Hải Lam, Đại học Vùng", "HĐ ĐH Vùng Hải Lam", "xyz", "xyz", "Lnệh", None, "Bộ Học chính"])
-    whole = sorted(map(tuple, C.map_values(v, ref).collect()))
-    monkeypatch.setattr(C, "SHARD", 2)
-    assert sorted(map(tuple, C.map_values(v, ref).collect())) == whole
+TIED = [("a1", "Phòng Lưu trữ một", "PLT"), ("a2", "Phòng Lưu trữ hai", "PLT"), ("b1", "Ban Xây dựng", "BXD"), ("b2", "Ban Xay dung", "X2"), ("c1", "Kho Sách", "KS"), ("c2", "Kho Sạch đồ", "kho sach"), ("d1", "Tổ Nghiệm thu", "TNT"), ("d2", "Viện Hải", "TNT2")]
+
+
+@pytest.mark.parametrize("shard", [8, 4, 2, 1])
+def test_shards_decide_as_one_tree(spark, monkeypatch, shard):
+    """Ties between entries of one shard and of two, codes, exact against near, blanks."""
+    values = ["PLT", "phong luu tru mot", "Phòng Lưu trữ", "Phòng Lưu trữ mhi", "ban xay dung", "Ban Xây  dựngg", "KHO SÁCH", "kho sahc", "to nghiem thi", "TNT2", "tnt", "Bộ Học chính", "\t", " \u00a0", "\x1f", "", None, "vien hai", "Kho Sách", "ổ" * 70_000]
+    both = spark.createDataFrame(TIED + ENTRIES + [(None, "Không mã", None), ("z", None, None)], "code string, name string, short string")
+    v, _ = frames(spark, values)
+    want = dict(zip(values, C.Reference(TIED + ENTRIES).resolve([x or "?" for x in values])))
+    assert want["PLT"] == want["ban xay dung"] == want["Phòng Lưu trữ mhi"] == "NONE" and want["KHO SÁCH"] == "c1" and want["tnt"] == "d1"
+    monkeypatch.setattr(C, "SHARD", {8: 100, 4: 7, 2: 6, 1: 2}[shard])
+    got = {values[r["rec_id"]]: r["ref_code"] for r in C.map_values(v, both).collect()}
+    skipped = {"\t", " \u00a0", "\x1f", "", None, "Bộ Học chính", "Kho Sách"}
+    assert got == {x: c for x, c in want.items() if x not in skipped}
