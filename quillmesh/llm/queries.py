@@ -55,15 +55,27 @@ def _entries(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "organizations").select(*names)
 
 
+def _people(spark: SparkSession, folder: str) -> DataFrame:
+    return link_people(table(spark, folder, "chuan").select(F.col("signer_id").alias("id"), F.col("unit_code").alias("unit"), F.col("full_name").alias("name")))
+
+
+def _organizations(spark: SparkSession, folder: str) -> DataFrame:
+    return link_organizations(table(spark, folder, "aliases_seed").select(F.col("alias_id").alias("id"), F.col("alias").alias("name")), _entries(spark, folder))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of rows that mean the same signer or the same organisation."""
-    signers = table(spark, folder, "chuan").select(F.col("signer_id").alias("id"), F.col("unit_code").alias("unit"), F.col("full_name").alias("name"))
-    aliases = table(spark, folder, "aliases_seed").select(F.col("alias_id").alias("id"), F.col("alias").alias("name"))
-    people = pairs(link_people(signers), "unit", "entity")
-    orgs = pairs(link_organizations(aliases, _entries(spark, folder)), "entity")
+    people, orgs = pairs(_people(spark, folder), "unit", "entity"), pairs(_organizations(spark, folder), "entity")
     return people.select(F.lit("chuan").alias("tbl"), "id_a", "id_b").unionByName(orgs.select(F.lit("aliases_seed").alias("tbl"), "id_a", "id_b"))
 
 
+def p2_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The entity of every row that names one, with the score it was linked by; under 1 for a short name that fits several."""
+    people = _people(spark, folder).select(F.lit("chuan").alias("tbl"), "id", F.concat_ws("/", "unit", "entity").alias("entity"), F.round("score", 6).alias("score"))
+    orgs = _organizations(spark, folder).select(F.lit("aliases_seed").alias("tbl"), "id", "entity", F.lit(1.0).alias("score"))
+    return people.unionByName(orgs)
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """The organisation and the document type meant by each typed value, or NONE."""
     docs = table(spark, folder, "docs")
@@ -122,7 +134,7 @@ def p7_text(spark: SparkSession, folder: str) -> DataFrame:
     return find_faults(_scans(spark, folder), text_too=True)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p7_found, p7_text, p8_ids, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_links, p3_found, p3_pieces, p5_found, p6_found, p6_agreement, p6_reliability, p7_found, p7_text, p8_ids, p9_found, p10_found)}
 _TRIM = "regexp_replace(nfc_normalize({0}), '^[\\s\\x0b\\p{{Z}}\\x{{85}}]+|[\\s\\x0b\\p{{Z}}\\x{{85}}]+$', '', 'g')"
 ORACLE: dict[str, str] = {
     "p3_found": f"""WITH j AS (SELECT rec_id, part_index, CASE WHEN json_valid(zones) THEN
