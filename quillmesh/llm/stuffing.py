@@ -1,16 +1,19 @@
 """Keyword-stuffed pages and link lists.
 
-From counts over the whole corpus comes the pointwise mutual information (PMI) of neighbouring
-words, and that of a word pair with a document: how many times more often the document has the pair
-than the rest of the corpus would lead one to expect. The rest leaves out the documents that repeat
-the pair themselves, so that a large group of spam does not make its own keywords look usual. A unit of text (a line, or a sentence of a long line) is
-no sentence when it is mostly links or tags, when it is set as an offer or a menu path, when most of
-its pairs are collocations that the document repeats excessively, or when its neighbours have less
-in common than chance (word salad). A page is stuffed when such units hold most of its characters.
-
-Counts are gathered per chunk of documents first, summed over the corpus by pair, and sent back only
-to the chunks that have the pair; so neither a pair's occurrences nor a document's are ever
-gathered, and no corpus-wide table is broadcast.
+A text is read as words and marks of layout: a link or tag, a price, a separator of menus and
+tables. From counts over the whole corpus comes the pointwise mutual information (PMI) of
+neighbouring words, and that of a pair of neighbours with a document: how many times more often the
+document has the pair than the rest of the corpus would lead one to expect. The rest leaves out the
+documents that repeat the pair themselves, so that a large group of spam does not make its own
+keywords look usual. A pair that a document repeats excessively is a stuffed collocation; what
+stands beside a mark of layout counts by the mark, so lists of links, offers and menus are
+collocations too. A unit of text (a line, or a sentence of a long line) is no sentence when such
+collocations cover enough of it, or when the mean PMI of its neighbours is below chance (word
+salad). A page is stuffed when such units hold most of its characters.
+
+Texts are read once: each batch is written as word numbers beside its own counts. The counts are
+summed over the corpus by pair and sent back only to the batches that have the pair; so neither a
+pair's occurrences nor a document's are ever gathered, and no corpus-wide table is broadcast.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +32,14 @@ from quillmesh.llm.fold import fold_words
 from quillmesh.llm.leaks import repaired
 from quillmesh.runtime import cut
 
-#: Documents of a chunk.
-CHUNK = 2_000
+#: Documents and characters of a batch; a longer text is a batch of its own.
+BATCH, CHARS = 2_000, 4_000_000
 #: A pair is repeated excessively when a document has it so often, as such a share of its pairs, and so many times more than in the documents that do not repeat it so.
 OFTEN, SHARE, EXCESS = 3, 0.025, 15.0
-#: Shares: of excessive pairs in a unit, of link characters in a unit, of such units in a page.
-REPEATED, LINKED, MOSTLY = 0.4, 0.4, 0.5
+#: Share of a unit that stuffed collocations must cover: where one of them comes twice in it, where it has marks of layout, else.
+TWICE, MARKED, ELSE = 0.3, 0.4, 0.6
+#: Share of such units in a page.
+MOSTLY = 0.5
 #: Pairs from which on a unit can be judged as word salad, and the mean PMI under which it is.
 SALAD_PAIRS, SALAD_PMI = 8, 0.0
 
@@ -41,10 +47,14 @@ _LINK = re.compile(
     r"\[[^\[\]\n]*\]\([^()\s]*\)|<a\b[^<>]*>[^<>]*</a>|<[^<>]*>|(?:https?://|www\.)\S+|(?<![\w@])[\w-]+(?:\.[\w-]+)+/\S*|(?<!\w)#\w+", re.I
 )
 _PRICE = re.compile(r"\d[\d.,]*\s?(?:đ|₫|vnđ|vnd|usd|€|\$|k)(?!\w)|[$€]\s?\d", re.I)
-_MENU = re.compile(r"[»›>→▸•·]")
-_BAR = re.compile(r"[|¦]")
+_BAR = re.compile(r"[»›>→▸•·|¦]")
+_ANY_MARK = re.compile(r"[/#<\[»›>→▸•·|¦₫€$]|\d\s?(?:đ|k|vn|usd)", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _LONG = 240
+#: Keys of the marks, of a unit's begin before a mark, and of any word beside a mark.
+LINK, PRICE, BAR, BEGIN, WORD = -5, -4, -3, -2, -1
+_MARKS = {"\x01": LINK, "\x02": PRICE, "\x03": BAR}
+_NO_MARKS = {ord(c): " " for c in _MARKS}
 
 
 def units(text: str) -> list[str]:
@@ -59,16 +69,9 @@ def units(text: str) -> list[str]:
     return out
 
 
-def set_apart(unit: str) -> tuple[bool, str]:
-    """(whether the unit is laid out as links, an offer or a menu, its words outside links)."""
-    bare, n = _LINK.subn(" ", unit) if any(c in unit for c in "/#<[") else (unit, 0)
-    linked = n and len(unit) - len(bare) + n >= LINKED * len(unit)
-    menu = len(_MENU.findall(bare)) >= 2 or (_BAR.search(bare) and _PRICE.search(bare))
-    return bool(linked or menu), bare
-
-
 def _hash(word: str) -> int:
-    return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
+    key = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
+    return key if key < LINK or key > WORD else 1
 
 
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -78,116 +81,205 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Keys of words, remembered by the chunks of text they stand in."""
+    """Keys and lengths of words and marks, remembered by the chunks of text they stand in."""
 
     def __init__(self):
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[list[int], list[int]]] = {}
 
-    def __call__(self, text: str) -> list[int]:
+    def plain(self, text: str) -> tuple[list[int], list[int]]:
         if len(self.known) > 500_000:
             self.known.clear()
-        out: list[int] = []
+        keys, lens = [], []
         for chunk in text.split():
-            keys = self.known.get(chunk)
-            if keys is None:
-                keys = [_hash(w) for w in fold_words(chunk) if len(w) > 1 and not w.isdigit()]
+            got = self.known.get(chunk)
+            if got is None:
+                words = [w for w in fold_words(chunk) if len(w) > 1 and not w.isdigit()]
+                got = [_hash(w) for w in words], [len(w) for w in words]
                 if len(chunk) < 64:
-                    self.known[chunk] = keys
-            out += keys
-        return out
-
-
-def laid_out(texts: list[str | None], words: Words) -> tuple[np.ndarray, ...]:
-    """(word keys, unit of each word, document of each unit, characters, set apart)."""
-    keys, n_words, doc, chars, apart = [], [], [], [], []
-    for d, text in enumerate(texts):
-        for u in units(repaired(text)) if text else ():
-            is_apart, bare = set_apart(u)
-            got = words(bare)
-            keys += got
-            n_words.append(len(got))
-            doc.append(d)
-            chars.append(len(u))
-            apart.append(is_apart)
-    unit = np.repeat(np.arange(len(doc)), n_words)
-    return np.array(keys, np.int64), unit, np.array(doc, np.int64), np.array(chars, np.int64), np.array(apart, bool)
-
-
-def _pairs(keys: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions of the left words of neighbours in one unit, pair keys)."""
-    at = np.nonzero(unit[:-1] == unit[1:])[0] if len(keys) > 1 else np.zeros(0, np.int64)
-    return at, pair_keys(keys[at], keys[at + 1]) if len(at) else np.zeros(0, np.int64)
-
-
-def _repeats(keys: np.ndarray, unit: np.ndarray, doc: np.ndarray, at: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of each pair: (its count in its document, the words of that, whether that repeats it)."""
-    if not len(at):
-        return np.zeros(0), np.zeros(0), np.zeros(0, bool)
-    in_doc = doc[unit[at]]
-    _, back, times = np.unique(pair_keys(in_doc, pair), return_inverse=True, return_counts=True)
-    mine, size = times[back], np.bincount(doc[unit])[in_doc]
-    return mine, size, (mine >= OFTEN) & (mine >= SHARE * size)
-
-
-def stuffed(texts: list[str | None], words: Words, key: np.ndarray, count: np.ndarray, again: np.ndarray, total: float, rest: float) -> list[bool]:
-    """Which texts are stuffed, given the corpus counts of all their words and pairs (sorted by key).
-
-    ``again`` has the part of each count that is in documents repeating the pair; ``total`` are the
-    words of the corpus, ``rest`` those without all such parts.
-    """
-    keys, unit, doc, chars, apart = laid_out(texts, words)
-    n_units = len(doc)
-    at, pair = _pairs(keys, unit)
-    of = lambda k: count[np.searchsorted(key, k)] if len(k) else np.zeros(0)
-    where = np.searchsorted(key, pair)
-    pair_n, left, right = count[where], of(keys[at]), of(keys[at + 1])
-    pmi = np.log(pair_n * total / (left * right)) if len(pair) else np.zeros(0)
-    # the pair's count in its document against what the rest of the corpus has of it
-    mine, size, repeats = _repeats(keys, unit, doc, at, pair)
-    excess = repeats & (mine * rest >= EXCESS * size * np.maximum(pair_n - again[where], 1))
-    per = np.bincount(unit[at], minlength=n_units) if len(at) else np.zeros(n_units)
-    share = (np.bincount(unit[at], weights=excess, minlength=n_units) if len(at) else np.zeros(n_units)) / np.maximum(per, 1)
-    mean = (np.bincount(unit[at], weights=pmi, minlength=n_units) if len(at) else np.zeros(n_units)) / np.maximum(per, 1)
-    bad = apart | (share >= REPEATED) | ((per >= SALAD_PAIRS) & (mean < SALAD_PMI))
-    whole = np.bincount(doc, weights=chars, minlength=len(texts))
-    part = np.bincount(doc, weights=chars * bad, minlength=len(texts))
-    return ((part > MOSTLY * whole) & (whole > 0)).tolist()
+                    self.known[chunk] = got
+            keys += got[0]
+            lens += got[1]
+        return keys, lens
+
+    def __call__(self, unit: str) -> tuple[list[int], list[int]]:
+        """(keys, characters) of a unit's words and marks; a mark at its begin has the begin before it."""
+        if not _ANY_MARK.search(unit):
+            return self.plain(unit)
+        links: list[int] = []
+
+        def link(m: re.Match) -> str:
+            links.append(len(m[0]))
+            return " \x01 "
+
+        text = _BAR.sub(" \x03 ", _PRICE.sub(" \x02 ", _LINK.sub(link, unit.translate(_NO_MARKS))))
+        keys, lens, left = [], [], iter(links)
+        for part in re.split("([\x01\x02\x03])", text):
+            if part in _MARKS:
+                keys.append(_MARKS[part])
+                lens.append(next(left) if part == "\x01" else 6 if part == "\x02" else 1)
+            else:
+                k, n = self.plain(part)
+                keys += k
+                lens += n
+        if keys and LINK <= keys[0] <= BAR:
+            keys.insert(0, BEGIN)
+            lens.insert(0, 0)
+        return keys, lens
+
+
+class Batch:
+    """Texts as word keys, with the lengths of words, units and documents."""
+
+    FIELDS = ("keys", "lens", "unit", "doc", "chars")
+
+    def __init__(self, **arrays: np.ndarray):
+        self.__dict__.update(arrays)
+
+    @staticmethod
+    def of(texts: list[str | None], words: Words) -> Batch:
+        keys, lens, n_words, doc, chars = [], [], [], [], []
+        for d, text in enumerate(texts):
+            for u in units(repaired(text)) if text else ():
+                k, n = words(u)
+                keys += k
+                lens += n
+                n_words.append(len(k))
+                doc.append(d)
+                chars.append(len(u))
+        unit = np.repeat(np.arange(len(doc), dtype=np.int64), n_words)
+        return Batch(keys=np.array(keys, np.int64), lens=np.array(lens, np.int64), unit=unit, doc=np.array(doc, np.int64), chars=np.array(chars, np.int64))
+
+    def packed(self) -> bytes:
+        """The batch in few bytes: every word as its place among the batch's distinct ones."""
+        vocab, at = np.unique(self.keys, return_inverse=True)
+        n = np.bincount(self.unit, minlength=len(self.doc))
+        parts = [np.array([len(vocab), len(at), len(n)], np.int64), vocab, at.astype(np.int32), self.lens.astype(np.int32), n.astype(np.int32), self.doc.astype(np.int32), self.chars.astype(np.int32)]
+        raw = b"".join(p.tobytes() for p in parts)
+        return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
+
+    @staticmethod
+    def unpacked(blob: bytes) -> Batch:
+        raw = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+        a, b, c = np.frombuffer(raw, np.int64, 3)
+        vocab = np.frombuffer(raw, np.int64, a, 24)
+        rest = np.frombuffer(raw, np.int32, -1, 24 + 8 * a)
+        at, lens, n, doc, chars = np.split(rest, np.cumsum([b, b, c, c]))
+        return Batch(keys=vocab[at], lens=lens.astype(np.int64), unit=np.repeat(np.arange(c), n), doc=doc.astype(np.int64), chars=chars.astype(np.int64))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(positions of the left of neighbours in one unit, pair keys); a word beside a mark is any word."""
+        at = np.nonzero(self.unit[:-1] == self.unit[1:])[0] if len(self.keys) > 1 else np.zeros(0, np.int64)
+        a, b = self.keys[at].copy(), self.keys[at + 1].copy()
+        ma, mb = (a >= LINK) & (a < WORD), (b >= LINK) & (b < WORD)
+        a[mb & ~ma] = WORD
+        b[ma & ~mb] = WORD
+        return at, pair_keys(a, b)
+
+    def repeats(self, at: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each pair: (its count in its document, the words of that, whether that repeats it)."""
+        if not len(at):
+            return np.zeros(0), np.zeros(0), np.zeros(0, bool)
+        of = self.doc[self.unit[at]]
+        _, back, times = np.unique(pair_keys(of, pair), return_inverse=True, return_counts=True)
+        mine, size = times[back], np.bincount(self.doc[self.unit])[of]
+        return mine, size, (mine >= OFTEN) & (mine >= SHARE * size)
+
+    def counts(self) -> tuple[np.ndarray, ...]:
+        """(key, n, words, again) of the distinct words and pairs."""
+        at, pair = self.pairs()
+        k1, n1 = np.unique(self.keys, return_counts=True)
+        k2, back, n2 = np.unique(pair, return_inverse=True, return_counts=True)
+        again = np.bincount(back, weights=self.repeats(at, pair)[2], minlength=len(k2)).astype(np.int64)
+        none = np.zeros(len(k1), np.int64)
+        return np.concatenate([k1, k2]), np.concatenate([n1, n2]).astype(np.int64), np.concatenate([n1, np.zeros(len(k2), np.int64)]).astype(np.int64), np.concatenate([none, again])
+
+    def stuffed(self, texts: int, key: np.ndarray, count: np.ndarray, again: np.ndarray, total: float, rest: float) -> np.ndarray:
+        """Which of the ``texts`` are stuffed, given the corpus counts of all their words and pairs (sorted by key).
+
+        ``again`` has the part of each count that is in documents repeating the pair; ``total`` are
+        the words of the corpus, ``rest`` those without all such parts.
+        """
+        n_units = len(self.doc)
+        per_unit = lambda w=None: np.bincount(self.unit[at], weights=w, minlength=n_units) if len(at) else np.zeros(n_units)
+        at, pair = self.pairs()
+        where = np.searchsorted(key, pair)
+        pair_n = count[where] if len(pair) else np.zeros(0)
+        of = lambda k: count[np.searchsorted(key, k)] if len(k) else np.zeros(0)
+        words = (self.keys[at] < LINK) | (self.keys[at] > WORD)
+        words &= (self.keys[at + 1] < LINK) | (self.keys[at + 1] > WORD) if len(at) else words
+        pmi = np.where(words, np.log(pair_n * total / np.maximum(of(self.keys[at]) * of(self.keys[at + 1]), 1)), 0.0) if len(at) else np.zeros(0)
+        per = per_unit(words)
+        salad = (per >= SALAD_PAIRS) & (per_unit(pmi) / np.maximum(per, 1) < SALAD_PMI)
+        # the pair's count in its document against what the rest of the corpus has of it
+        mine, size, repeats = self.repeats(at, pair)
+        excess = repeats & (mine * rest >= EXCESS * size * np.maximum(pair_n - again[where], 1)) if len(pair) else repeats
+        covered = np.zeros(len(self.keys), bool)
+        covered[at[excess]] = True
+        covered[at[excess] + 1] = True
+        by_unit = lambda w: np.bincount(self.unit, weights=w, minlength=n_units) if len(self.unit) else np.zeros(n_units)
+        share = by_unit(self.lens * covered) / np.maximum(by_unit(self.lens), 1)
+        _, back, times = np.unique(pair_keys(self.unit[at], pair), return_inverse=True, return_counts=True)
+        twice = per_unit(excess & (times[back] >= 2)) > 0 if len(at) else np.zeros(n_units, bool)
+        marked = by_unit((self.keys >= LINK) & (self.keys < WORD)) > 0
+        bad = salad | (twice & (share >= TWICE)) | (marked & (share >= MARKED)) | (share >= ELSE)
+        whole = np.bincount(self.doc, weights=self.chars, minlength=texts)
+        part = np.bincount(self.doc, weights=self.chars * bad, minlength=texts)
+        return (part > MOSTLY * whole) & (whole > 0)
+
+
+_ROW = pa.schema([("batch", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("words", pa.int64()), ("again", pa.int64()), ("ids", pa.binary()), ("packed", pa.binary())])
+
+
+def _batches(batches: Iterator[pa.RecordBatch], rows: int, most: int) -> Iterator[tuple[list[int], list[str]]]:
+    """(ids, texts) of up to so many rows and ``most`` characters."""
+    ids, texts, chars = [], [], 0
+    for b in batches:
+        for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if ids and (len(ids) >= rows or chars + len(text) > most):
+                yield ids, texts
+                ids, texts, chars = [], [], 0
+            ids.append(i)
+            texts.append(text)
+            chars += len(text)
+    if ids:
+        yield ids, texts
 
 
 def find_stuffed(docs: DataFrame) -> DataFrame:
     """(doc_id) of the stuffed documents of (doc_id, text).
 
-    Null, empty and wordless texts are not stuffed; repeated rows give one id. Three passes: counts
-    per chunk, their sums by word and pair, and the judgement of each chunk beside the sums it needs.
+    Null, empty and wordless texts are not stuffed; repeated rows give one id. One pass over the
+    texts without a shuffle, the sums of its counts by word and pair, and the judgement of each
+    batch beside the sums it needs.
     """
-    chunks = max(1, -(-docs.count() // CHUNK))
-    spread = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
-    spread = spread.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
     words = Words()
 
-    def count(group: pa.Table) -> pa.Table:
-        keys, unit, doc, *_ = laid_out(group.column("text").to_pylist(), words)
-        at, pair = _pairs(keys, unit)
-        k1, n1 = np.unique(keys, return_counts=True)
-        k2, back, n2 = np.unique(pair, return_inverse=True, return_counts=True)
-        again = np.bincount(back, weights=_repeats(keys, unit, doc, at, pair)[2], minlength=len(k2)).astype(np.int64)
-        key = np.concatenate([k1, k2])
-        single = np.concatenate([n1, np.zeros(len(k2), np.int64)])
-        chunk = pa.array(np.full(len(key), group.column("chunk")[0].as_py(), np.int64))
-        again = np.concatenate([np.zeros(len(k1), np.int64), again])
-        return pa.table({"chunk": chunk, "key": key, "n": np.concatenate([n1, n2]).astype(np.int64), "words": single.astype(np.int64), "again": again})
-
-    counts = spread.groupBy("chunk").applyInArrow(count, "chunk bigint, key bigint, n bigint, words bigint, again bigint")
-    counts = cut(counts)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        for k, (ids, texts) in enumerate(_batches(batches, BATCH, CHARS)):
+            batch = Batch.of(texts, words)
+            key, n, single, again = batch.counts()
+            no, none = first + k, [None]
+            yield pa.record_batch([[no], *(pa.array(none, pa.int64()) for _ in range(4)), [np.array(ids, np.int64).tobytes()], [batch.packed()]], schema=_ROW)
+            for lo in range(0, len(key), 100_000):
+                part = slice(lo, lo + 100_000)
+                m = len(key[part])
+                yield pa.record_batch([np.full(m, no), key[part], n[part], single[part], again[part], pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], schema=_ROW)
+
+    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    made = cut(rows.mapInArrow(read, "batch bigint, key bigint, n bigint, words bigint, again bigint, ids binary, packed binary"))
+    counts, packed = made.where("key is not null"), made.where("key is null").select(F.col("batch").alias("no"), "ids", "packed")
     total, repeated = (float(x or 0) for x in counts.agg(F.sum("words"), F.sum("again")).first())
     sums = counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("again").alias("again"))
-    wanted = counts.select("chunk", "key").join(sums, "key")
+    wanted = counts.select("batch", "key").join(sums, "key")
 
     def judge(texts: pa.Table, known: pa.Table) -> pa.Table:
+        found: list[np.ndarray] = [np.zeros(0, np.int64)]
         key, n, again = (known.column(c).to_numpy() for c in ("key", "n", "again"))
         order = np.argsort(key)
-        bad = stuffed(texts.column("text").to_pylist(), words, key[order], n[order].astype(float), again[order], total, total - repeated)
-        return pa.table({"doc_id": texts.column("doc_id").filter(pa.array(bad, pa.bool_()))})
+        for ids, blob in zip(texts.column("ids").to_pylist(), texts.column("packed").to_pylist()):
+            ids = np.frombuffer(ids, np.int64)
+            found.append(ids[Batch.unpacked(blob).stuffed(len(ids), key[order], n[order].astype(float), again[order], total, total - repeated)])
+        return pa.table({"doc_id": pa.array(np.concatenate(found), pa.int64())})
 
-    found = spread.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(judge, "doc_id bigint")
-    return found.distinct()
+    return packed.groupBy("no").cogroup(wanted.groupBy("batch")).applyInArrow(judge, "doc_id bigint").distinct()

@@ -1,6 +1,8 @@
 import random
 
-from quillmesh.llm.stuffing import find_stuffed
+import numpy as np
+
+from quillmesh.llm.stuffing import Batch, Words, find_stuffed, pair_keys
 
 NOUNS = "phòng chức năng;hội đồng khoa;người học;ban quản lý;thư viện trung tâm;cố vấn lớp;đơn vị đào luyện;tổ bảo vệ;nhóm nghiên cứu;trạm y tế".split(";")
 VERBS = "phải nộp;được giao gia hạn;cần kiểm kê;nên công khai;chịu trách nhiệm rà soát;có thể bổ sung;không được cấp lại".split(";")
@@ -24,6 +26,8 @@ def made():
         1004: "\n".join(f"» {rng.choice(SPAM)} › {rng.choice(OBJECTS)} › {rng.choice(OBJECTS)} ({k})" for k in range(20)),
         1005: "\n".join(f"{rng.choice(OBJECTS)} uy tín | Giá: {k}00.000đ | Còn hàng" for k in range(1, 20)),
         1006: " | ".join(rng.choice(SPAM[:2]) for _ in range(70)),
+        1008: " ".join(f"{SPAM[0].capitalize()}: {rng.choice(NOUNS)} {rng.choice(VERBS)} {SPAM[0]}, {SPAM[3]}, {SPAM[0]} {rng.choice(['uy tín', 'số 1', 'full'])}." for _ in range(14)),
+        1009: " ".join(f"{SPAM[4].capitalize()} {rng.choice(['cho', 'từ', 'với'])} {rng.choice(OBJECTS)}, {SPAM[4]} {rng.choice(['mới', 'hot'])}, {SPAM[1]} {SPAM[4]}." for _ in range(14)),
         1007: plain(rng, 1) + "\n" + "\n".join(f"[{rng.choice(SPAM)}](http://c.test/{k})" for k in range(20)),
     }
     good = {
@@ -50,7 +54,7 @@ def test_pages(spark):
 
 def test_chunks_change_nothing(spark, monkeypatch):
     docs, bad = made()
-    monkeypatch.setattr("quillmesh.llm.stuffing.CHUNK", 40)
+    monkeypatch.setattr("quillmesh.llm.stuffing.BATCH", 40)
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     assert {r["doc_id"] for r in find_stuffed(df).collect()} == bad
 
@@ -66,3 +70,26 @@ def test_a_third_of_the_rows_is_spam_of_one_source(spark):
 def test_empty(spark):
     assert find_stuffed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert find_stuffed(spark.createDataFrame([(1, "x " * 200000)], "doc_id long, text string")).count() <= 1
+
+
+def test_batches_come_back_as_they_were():
+    docs, _ = made()
+    batch = Batch.of(list(docs.values()), Words())
+    back = Batch.unpacked(batch.packed())
+    for f in Batch.FIELDS:
+        assert np.array_equal(getattr(batch, f), getattr(back, f)), f
+    assert len(Batch.unpacked(Batch.of([None, ""], Words()).packed()).keys) == 0
+
+
+def test_word_salad_is_below_chance():
+    """Frequent words whose neighbours hardly ever meet otherwise."""
+    rng = random.Random(3)
+    words = [f"tu{chr(97 + k)}x" for k in range(26)]
+    salad = " ".join(rng.choice(words) for _ in range(40)) + "."
+    batch = Batch.of([salad], Words())
+    key = np.unique(np.concatenate([batch.keys, batch.pairs()[1]]))
+    n = np.where(np.isin(key, batch.keys), 1000.0, 1.0)
+    again = np.zeros(len(key), np.int64)
+    assert batch.stuffed(1, key, n, again, 100_000.0, 100_000.0).tolist() == [True]
+    assert batch.stuffed(1, key, np.full(len(key), 1000.0), again, 100_000.0, 100_000.0).tolist() == [False]
+    assert pair_keys(np.array([1]), np.array([2])) != pair_keys(np.array([2]), np.array([1]))
