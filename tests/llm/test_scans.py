@@ -1,6 +1,6 @@
 import random
 
-from quillmesh.llm.scans import alike, candidate, find_faults, token
+from quillmesh.llm.scans import Layout, Misread, alike, candidate, find_faults, fit, rough_breaks, rough_states, token, tokens_of
 
 SUBJECTS = "phòng chức năng;hội đồng khoa;người học;ban quản lý;thư viện trung tâm".split(";")
 VERBS = "phải nộp;được giao gia hạn;cần kiểm kê;nên công khai".split(";")
@@ -88,3 +88,45 @@ def test_corner_cases(spark):
     assert [candidate(s) for s in ("", "----- [Trang 3] -----", "Trang 1/2", "— 13940 —", "13940 | Trang", "Điều 3. X", "và các đơn vị", "Sổ tay quy chế")] == ["", "m", "p", "p", "p", "b", "b", "h"]
     assert alike("liọc") == alike("học") and alike("trầrn") == alike("trầm") and alike("kh0a") == alike("khóa") and alike("nô.i") == alike("nội")
     assert token("(học),") == "học" and token("12/QĐ-A") == "" and token("2024") == ""
+
+
+def test_no_line_or_word_is_too_long():
+    ornament = "—" * 60
+    assert candidate(f"{ornament} 7 {ornament}") == "p" and candidate("TÀI LIỆU " * 30 + "LƯU") == "h"
+    assert tokens_of("và/hoặc,") == ("và", "hoặc") and tokens_of("12/QĐ-A") == () and tokens_of("http://a/b") == ()
+    assert tokens_of("x" * 50) == ("x" * 50,)
+    misread = Misread({"hoặe": "hoặc", "n" * 40: "m" * 40})
+    assert misread.fixed("(và/hoặe),") == "(và/hoặc)," and misread.fixed("Hoặe.") == "Hoặc." and misread.fixed("HOẶE") == "HOẶC" and misread.fixed("n" * 40) == "m" * 40
+
+
+def test_breaks_and_cuts_are_labelled():
+    rng = random.Random(11)
+    texts, want = [], []
+    for _ in range(60):
+        lines, ends = [], set()
+        for _ in range(4):
+            words = " ".join(sentence(rng) for _ in range(4)).split()
+            for at in range(0, len(words), 12):
+                lines.append(" ".join(words[at : at + 12]))
+            ends.add(len(lines) - 1)
+        texts.append("\n".join(lines))
+        want.append(ends)
+    model = fit(texts)
+    got = [model.breaks(x := Layout(t), model.decode(x)) for t in texts]
+    hits, every, right = sum(len(a & b) for a, b in zip(got, want)), sum(map(len, got)), sum(map(len, want))
+    assert hits >= 0.8 * right and hits >= 0.8 * every
+    cut = Layout("Người học phải nộp học bổng khuyến học và danh mục tạp ch-\ní trong vòng 5 giờ.")
+    assert rough_states(cut)[0] == "C" and 0 not in rough_breaks(cut, rough_states(cut))
+
+
+def test_blocks_of_words_change_nothing(spark, monkeypatch):
+    rows, _ = corpus()
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole = {tuple(r) for r in find_faults(df).collect()}, {tuple(r) for r in find_faults(df, text_too=True).collect()}
+    monkeypatch.setattr("quillmesh.llm.scans.BLOCK", 5)
+    assert ({tuple(r) for r in find_faults(df).collect()}, {tuple(r) for r in find_faults(df, text_too=True).collect()}) == whole
+
+
+def test_without_digital_files_nothing_is_called_misread(spark):
+    rows = [r for r in corpus()[0] if r[1] >= 100]
+    assert {r["kind"] for r in find_faults(spark.createDataFrame(rows, SCHEMA)).collect()} == {"running_header", "page_number", "broken_word"}
