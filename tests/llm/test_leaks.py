@@ -77,3 +77,25 @@ def test_reading():
     assert words("Điều&nbsp;5<br>kho<b>ản</b> khu­vực hà-\nnội") == ["dieu", "5", "khoan", "khuvuc", "hanoi"]
     assert repaired("Điều khoản".encode().decode("latin-1")) == "Điều khoản"
     assert Items([(1, "quá ngắn")]).ids == []
+
+
+def test_boilerplate_is_found_in_every_document(spark, monkeypatch):
+    """A passage that many items share and many documents hold: no seed of it is rare."""
+    rng = random.Random(12)
+    shared = text(rng, 30)
+    items = {i: text(rng, 12) + shared + text(rng, 12) for i in range(6)}
+    docs = {d: text(rng, 15) + (shared[d % 4 : d % 4 + 25] if d % 3 else shared[:15]) + text(rng, 9) for d in range(60)}
+    docs |= {100 + i: x[:40] for i, x in items.items()}
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    held = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    want = sorted((d, i) for d, w in docs.items() for i, x in items.items() if holds(w, x))
+    assert len(want) > 200
+    assert sorted(map(tuple, find_leaks(df, held).collect())) == want
+    monkeypatch.setattr("quillmesh.llm.leaks.RARE", 1.0)
+    assert sorted(map(tuple, find_leaks(df, held).collect())) == want
+
+
+def test_garbled_runs_are_decoded_beside_other_letters():
+    assert repaired("Ж " + "Điều kiện".encode().decode("latin-1") + " đúng") == "Ж Điều kiện đúng"
+    assert repaired("Khoản é ÂÊ Ã") == "Khoản é ÂÊ Ã"
+    assert repaired("“trích” " + "nhà".encode().decode("cp1252")) == "“trích” nhà"
