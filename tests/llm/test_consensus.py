@@ -2,7 +2,7 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta
 
-from quillmesh.llm.consensus import LABELS, agreement, consensus, reliability
+from quillmesh.llm.consensus import LABELS, agreement, consensus, estimate_labels, estimate_numbers, judgements, reliability
 
 SCHEMA = "row_no long, id long, nguoi_gan string, nhan string, dich_dung string, so_hieu_duoc_nhac string, gan_luc timestamp, label string, annotator string"
 T0 = datetime(2023, 1, 1)
@@ -45,9 +45,10 @@ def test_better_than_the_majority(spark):
 
 def test_agreement(spark):
     mk = lambda rows: spark.createDataFrame([(n, i, a, x, None, "1/A", T0, "", "") for n, (i, a, x) in enumerate(rows)], SCHEMA)
-    full = agreement(mk([(1, "a", "AMENDS"), (1, "b", "AMENDS"), (2, "a", "REPEALS"), (2, "b", "REPEALS"), (3, "a", "KHONG")])).first()
+    of = lambda df: {r["field"]: r for r in agreement(df).collect()}["nhan"]
+    full = of(mk([(1, "a", "AMENDS"), (1, "b", "AMENDS"), (2, "a", "REPEALS"), (2, "b", "REPEALS"), (3, "a", "KHONG")]))
     assert full["n_items"] == 2 and full["alpha"] == 1.0
-    none = agreement(mk([])).first()
+    none = of(mk([]))
     assert none["n_items"] == 0 and none["alpha"] is None
 
 
@@ -59,3 +60,29 @@ def test_corner_cases(spark):
         SCHEMA,
     )
     assert {tuple(r) for r in consensus(odd).collect()} == {(1, "REPLACES", ""), (2, "REPLACES", ""), (3, "REPLACES", "")}
+
+
+def test_joined_rounds_give_the_same(spark, monkeypatch):
+    rows, *_ = made(2, 60)
+    said = judgements(spark.createDataFrame(rows, SCHEMA))
+    labels, numbers = said.where("label is not null").select("id", "annotator", "label"), said.select("id", "annotator", "number")
+    both = []
+    for most in (20_000, 1):
+        monkeypatch.setattr("quillmesh.llm.consensus.ANNOTATORS", most)
+        posts, counts = estimate_labels(labels)
+        both.append(
+            (
+                {r["id"]: [round(x, 5) for x in r[1:]] for r in posts.collect()},
+                {(r["annotator"], r["label"]): [round(x, 3) for x in r[2:]] for r in counts.collect()},
+                {r["id"]: r["number"] for r in estimate_numbers(numbers).collect()},
+            )
+        )
+    assert both[0] == both[1]
+
+
+def test_agreement_of_numbers(spark):
+    rows = [(n, i, a, "AMENDS", x, "1/A", T0, "", "") for n, (i, a, x) in enumerate([(1, "a", ""), (1, "b", "01/a"), (2, "a", "7/B"), (2, "b", "Số 7/B"), (3, "a", "8/C"), (3, "b", None)])]
+    got = {r["field"]: r for r in agreement(spark.createDataFrame(rows, SCHEMA)).collect()}["dich_dung"]
+    # pairs that agree: items 1 and 2 of 3; answers "" 3, 7/B 2, 8/C 1
+    assert (got["n_items"], got["n_labels"], got["observed"], got["expected"]) == (3, 6, round(4 / 6, 6), round(8 / 30, 6))
+    assert got["alpha"] == round((4 / 6 - 8 / 30) / (1 - 8 / 30), 6)
