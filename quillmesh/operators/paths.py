@@ -5,37 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.runtime import cut
+from quillmesh.runtime import cut, drop
 
 #: Longest walk that may be asked for.
 MOST_HOPS = 6
 
 
-def trails(edges: DataFrame, least: int, most: int, starts: DataFrame | None = None) -> DataFrame:
+def trails(edges: DataFrame, least: int, most: int, starts: DataFrame | None = None, nodes: bool = True) -> DataFrame:
     """(start, end, depth, rel, nodes): one row per trail of ``least`` to ``most`` edges (src, rel, dst).
 
     A trail uses an edge once but may come back to a node, so a loop returns to its start. ``rel``
-    is the type of the last edge, null for the trail of no edges; ``nodes`` runs from start to end.
-    ``starts`` (node) bounds where trails begin: without it, everywhere. Edges with a null end are
-    no edges; parallel edges of different types are different trails. One equi-join per hop.
+    is the type of the last edge, null for the trail of no edges; ``nodes`` runs from start to end
+    and is left out unless asked for. ``starts`` (node) bounds where trails begin: without it,
+    everywhere. Edges with a null end are no edges; parallel edges of different types are different
+    trails. One equi-join per hop; edges on the way are kept as 64-bit keys.
     """
     if not 0 <= least <= most <= MOST_HOPS:
         raise ValueError(f"walks are bounded by {MOST_HOPS} hops")
-    e = edges.where("src is not null and dst is not null").select("src", "rel", "dst", F.concat_ws("\x1f", "src", "rel", "dst").alias("eid"))
+    e = edges.where("src is not null and dst is not null").select("src", "rel", "dst", F.xxhash64("src", "rel", "dst").alias("eid"))
     if starts is None:
         begin = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct() if least == 0 else e.select(F.col("src").alias("node")).distinct()
     else:
         begin = starts.select(F.col(starts.columns[0]).alias("node")).where("node is not null").distinct()
-    here = begin.select(
-        F.col("node").alias("start"), F.col("node").alias("end"), F.lit(0).alias("depth"), F.lit(None).cast("string").alias("rel"), F.array("node").alias("nodes"), F.array().cast("array<string>").alias("used")
-    )
+    way = [F.array("node").alias("nodes")] if nodes else []
+    here = begin.select(F.col("node").alias("start"), F.col("node").alias("end"), F.lit(0).alias("depth"), F.lit(None).cast("string").alias("rel"), *way, F.array().cast("array<bigint>").alias("used"))
     out = here if least == 0 else None
     for hop in range(1, most + 1):
         step = e.select(F.col("src").alias("end"), F.col("rel").alias("r"), F.col("dst").alias("to"), "eid")
+        way = [F.concat("nodes", F.array("to")).alias("nodes")] if nodes else []
         here = here.join(step, "end").where(~F.array_contains("used", F.col("eid"))).select(
-            "start", F.col("to").alias("end"), F.lit(hop).alias("depth"), F.col("r").alias("rel"), F.concat("nodes", F.array("to")).alias("nodes"), F.concat("used", F.array("eid")).alias("used")
+            "start", F.col("to").alias("end"), F.lit(hop).alias("depth"), F.col("r").alias("rel"), *way, F.concat("used", F.array("eid")).alias("used")
         )
-        if hop > 1:
+        # what is read twice is written; the last hop is not
+        if 1 < hop < most:
             here = cut(here)
         if hop >= least:
             out = here if out is None else out.unionByName(here)
@@ -69,10 +71,14 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 20, tolerance:
         sent = e.join(rank.select(F.col("node").alias("src"), (F.col("rank") / F.col("out")).alias("share")), "src").groupBy(F.col("dst").alias("node")).agg(F.sum("share").alias("got"))
         base = nodes if tolerance is None else rank.withColumnRenamed("rank", "old")
         new = (F.lit((1 - alpha) / n + alpha * dangling / n) + alpha * F.coalesce("got", F.lit(0.0))).alias("rank")
+        last = rank
         rank = cut(base.join(sent, "node", "left").select("node", "out", new, *([] if tolerance is None else ["old"])))
         if tolerance is not None:
             moved = rank.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
             rank = rank.drop("old")
+        if k:
+            drop(last)
+        if tolerance is not None:
             if moved < tolerance:
                 break
     return rank.select("node", "rank")
@@ -93,6 +99,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         up = low.select(F.col("node").alias("c"), F.col("c").alias("further"))
         new = cut(low.join(up, "c", "left").select("node", F.least("c", "further").alias("component"), "old"))
         moved = new.where("component <> old").limit(1).count()
+        drop(label)
         label = new.select("node", "component")
         if not moved:
             return label

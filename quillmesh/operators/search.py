@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.functions.text import tokens
-from quillmesh.runtime import cut
+from quillmesh.runtime import cut, stored
 
 K1, B = 1.5, 0.75
 #: Constant of reciprocal rank fusion.
@@ -27,21 +27,31 @@ class TextIndex:
 
     @cached_property
     def postings(self) -> DataFrame:
+        """A stored table in ranges of the term: a query reads only the row groups of its words."""
         each = self.texts.select("key", F.size("words").alias("len"), F.posexplode("words").alias("pos", "term"))
-        return cut(each.groupBy("term", "key", "len").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions")))
+        return stored(each.groupBy("term", "key", "len").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions")), "term")
+
+    @cached_property
+    def frequencies(self) -> DataFrame:
+        """(term, df): the number of texts that have a term, summed once when the index is made."""
+        return stored(self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term")
 
     @cached_property
     def stats(self) -> tuple[int, float]:
         n, mean = self.texts.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
         return n, float(mean or 1.0) or 1.0
 
-    def weigh(self, hits: DataFrame, k1: float, b: float) -> DataFrame:
-        """(key, score) of hits (leaf, key, tf, len): BM25 with the leaf's own document frequency."""
+    def df(self, words: list[str]) -> dict[str, int]:
+        """The document frequencies of a query's words: a row each."""
+        found = self.frequencies.where(F.col("term").isin(*words)).collect()
+        return {r["term"]: r["df"] for r in found}
+
+    def weigh(self, hits: DataFrame, df: Column, k1: float, b: float) -> DataFrame:
+        """(key, score) of hits (key, tf, len): BM25 with the document frequency ``df`` of their leaf."""
         n, mean = self.stats
-        df = F.count(F.lit(1)).over(Window.partitionBy("leaf"))
         idf = F.log(1 + (F.lit(n) - df + 0.5) / (df + 0.5))
         score = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.lit(mean)))
-        return hits.select("leaf", "key", score.alias("score"))
+        return hits.select("key", score.alias("score"))
 
 
 @dataclass(frozen=True)
@@ -52,7 +62,7 @@ class Term:
         return index.postings.where(F.col("term") == self.word).select("key", "tf", "len")
 
     def scores(self, index: TextIndex, k1: float, b: float) -> DataFrame:
-        return index.weigh(self.hits(index).withColumn("leaf", F.lit(0)), k1, b).drop("leaf")
+        return index.weigh(self.hits(index), F.lit(index.df([self.word]).get(self.word, 0)), k1, b)
 
 
 @dataclass(frozen=True)
@@ -73,6 +83,12 @@ class Phrase(Term):
         starts = reduce(lambda x, y: F.array_intersect(x, y), [F.col(f"p{k}") for k in range(len(words))])
         return met.select("key", F.size(starts).cast("bigint").alias("tf"), "len").where("tf > 0")
 
+    def scores(self, index: TextIndex, k1: float, b: float) -> DataFrame:
+        if len(self.words) == 1:
+            return Term(self.words[0]).scores(index, k1, b)
+        hits = cut(self.hits(index))
+        return index.weigh(hits, F.lit(hits.count()), k1, b)
+
 
 @dataclass(frozen=True)
 class Boost:
@@ -91,8 +107,9 @@ class Or:
         words = [p.word for p in self.parts if type(p) is Term]
         rest = [p.scores(index, k1, b) for p in self.parts if type(p) is not Term]
         if words:
-            hits = index.postings.where(F.col("term").isin(*words)).select(F.col("term").alias("leaf"), "key", "tf", "len")
-            rest.append(index.weigh(hits, k1, b).drop("leaf"))
+            df = index.df(words)
+            of = F.create_map(*(F.lit(x) for w in words for x in (w, df.get(w, 0))))[F.col("term")]
+            rest.append(index.weigh(index.postings.where(F.col("term").isin(*words)), of, k1, b))
         return reduce(DataFrame.unionByName, rest).groupBy("key").agg(F.sum("score").alias("score"))
 
 
@@ -138,13 +155,16 @@ def fuse(lists: list[DataFrame], k: int = RRF_K) -> DataFrame:
     return each.groupBy("key").agg(F.sum(1.0 / (k + F.col("rank"))).alias("score"), F.array_sort(F.collect_set("list")).alias("via"))
 
 
-def cosine_top(vectors: DataFrame, queries: DataFrame, k: int, block: int = 4096) -> DataFrame:
-    """(qid, key, score) : for each query (qid, vector) the ``k`` nearest (key, vector) by cosine, ties by key.
+def cosine_top(vectors: DataFrame, queries: DataFrame, k: int, block: int = 4096, scope: str | None = None) -> DataFrame:
+    """(qid, key, score, rank): for each query (qid, vector) the ``k`` nearest (key, vector) by cosine, ties by key.
 
-    Exact. The queries are a stated set, held in blocks of ``block``; every batch of vectors is
+    With ``scope``, a column of the vectors, the ``k`` nearest of each of its values, which is given
+    too. Exact. The queries are a stated set, held in blocks of ``block``; every batch of vectors is
     multiplied with the block at once and keeps its own best, so what is shuffled is k rows a query
-    and batch. Null vectors are left out, a zero vector has cosine 0 with everything.
+    (and scope) and batch. Null vectors are left out, a zero vector has cosine 0 with everything.
     """
+    of = F.col(scope).cast("string") if scope else F.lit("")
+    near_to = vectors.where("vector is not null").select(F.col("key").cast("bigint"), "vector", of.alias("scope"))
     n = queries.count()
     blocks = max(1, -(-n // block))
     out = []
@@ -164,16 +184,25 @@ def cosine_top(vectors: DataFrame, queries: DataFrame, k: int, block: int = 4096
                 keys = batch.column(0).to_numpy(zero_copy_only=False)
                 v = np.array(batch.column(1).to_pylist(), float)
                 s = q @ (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)).T
-                m = min(k, len(keys))
-                # all that tie with the m-th stay, so that the key decides over the whole
-                least = -np.partition(-s, m - 1, axis=1)[:, m - 1 : m]
-                at, of = np.nonzero(s >= least - 1e-9)
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in at], pa.int64()), pa.array(keys[of].astype(np.int64)), pa.array(s[at, of])], names=["qid", "key", "score"])
-
-        near = vectors.where("vector is not null").select(F.col("key").cast("bigint"), "vector").mapInArrow(run, "qid bigint, key bigint, score double")
-        near = near.withColumn("score", F.round("score", 9))
-        out.append(near.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "key"))).where(F.col("rank") <= k))
-    empty = vectors.sparkSession.createDataFrame([], "qid bigint, key bigint, score double, rank int")
+                scopes = batch.column(2).dictionary_encode()
+                places = scopes.indices.to_numpy(zero_copy_only=False) if not scopes.indices.null_count else np.array([-1 if x is None else x for x in scopes.indices.to_pylist()])
+                for place in np.unique(places).tolist():
+                    cols = np.nonzero(places == place)[0]
+                    mine = s[:, cols]
+                    m = min(k, len(cols))
+                    # all that tie with the m-th stay, so that the key decides over the whole
+                    least = -np.partition(-mine, m - 1, axis=1)[:, m - 1 : m]
+                    at, hit = np.nonzero(mine >= least - 1e-9)
+                    name = None if place < 0 else scopes.dictionary[place].as_py()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([ids[i] for i in at], pa.int64()), pa.array(keys[cols[hit]].astype(np.int64)), pa.array(mine[at, hit]), pa.array([name] * len(at), pa.string())],
+                        names=["qid", "key", "score", "scope"],
+                    )
+
+        near = near_to.mapInArrow(run, "qid bigint, key bigint, score double, scope string").withColumn("score", F.round("score", 9))
+        best = near.withColumn("rank", F.row_number().over(Window.partitionBy("qid", "scope").orderBy(F.desc("score"), "key"))).where(F.col("rank") <= k)
+        out.append(best.withColumnRenamed("scope", scope) if scope else best.drop("scope"))
+    empty = vectors.sparkSession.createDataFrame([], f"qid bigint, key bigint, score double, {f'{scope} string, ' if scope else ''}rank int")
     return reduce(DataFrame.unionByName, out, empty) if len(out) != 1 else out[0]
 
 

@@ -90,6 +90,16 @@ def b13_fulltext_content_text(graph: PropertyGraph) -> DataFrame:
     return _plain(search(index(graph, "content"), Phrase(" ".join(_P)), 50))
 
 
+_DUTY = ["trach", "nhiem"]
+
+
+@_query(f"{_index_sql('article')}{_leaf_sql('q', _DUTY, True)} SELECT q.key, a.heading, round(score, 9) AS score FROM q JOIN article a ON a.article_id = q.key")
+def s14_fulltext_article(graph: PropertyGraph) -> DataFrame:
+    """Every article with a phrase, with its heading and score."""
+    hits = search(index(graph, "article"), Phrase(" ".join(_DUTY)))
+    return hits.join(graph.article.select(F.col("article_id").alias("key"), "heading"), "key").select("key", "heading", "score")
+
+
 _BAG = "Học bổng và học phí: biểu mẫu nào?"
 _BAGW = ["hoc", "bong", "va", "phi", "bieu", "mau", "nao"]
 
@@ -313,9 +323,8 @@ def scoped_nearest(graph: PropertyGraph) -> DataFrame:
     """The three nearest vectors of every label."""
     e = graph._table("embeddings")
     query = e.where("vec_id = 1").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
-    near = cosine_top(e.select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector")), query, 10**9).join(e.select(F.col("vec_id").alias("key"), "label"), "key")
-    by = Window.partitionBy("label").orderBy(F.desc("score"), "key")
-    return near.withColumn("nth", F.row_number().over(by)).where("nth <= 3").select("label", "key", "score")
+    near = cosine_top(e.select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector"), "label"), query, 3, scope="label")
+    return near.select(F.col("label").cast("int").alias("label"), "key", "score")
 
 
 @_query(

@@ -145,7 +145,7 @@ def stratified_sample(spark: SparkSession, folder: str) -> DataFrame:
 SAME = {
     "b1_document_by_status": "tpl_doc_distribution_by_status", "b2_document_by_type": "tpl_doc_count_by_type", "b3_document_by_authority_level": "tpl_doc_count_by_authority_level",
     "b5_top_organizations": "tpl_top_orgs_by_doc_count", "b8_citation_relation_counts": "tpl_citation_relation_counts", "b14_hybrid_expand_outgoing": "tpl_hybrid_fulltext_expand",
-    "q1_single_hop_org_status": "tpl_docs_by_org_status", "q2_single_hop_topic": "tpl_docs_by_topic", "q3_multihop_amends_replaces": "tpl_amend_replace_chain", "q4_replaces": "tpl_replaced_by",
+    "q1_single_hop_org_status": "tpl_docs_by_org_status", "q2_single_hop_topic": "tpl_docs_by_topic", "q4_replaces": "tpl_replaced_by",
     "q5_amends_target_still_active": "tpl_amends_target_still_active", "q7_normative_content_by_type": "tpl_normative_content_by_type", "q8_article_fulltext": "b12_fulltext_article_text",
     "q9_document_fulltext": "b11_fulltext_doc_text", "q15_target_group_lookup": "tpl_docs_by_target_group", "s05_document_detail": "tpl_document_detail", "s06_document_articles": "tpl_doc_article_list",
     "s07_document_mentions": "tpl_doc_mentioned_orgs", "s08_document_based_on": "tpl_doc_legal_basis", "s12_chain_depth_distribution": "b10_amends_replaces_depth_distribution", "s15_fulltext_content": "b13_fulltext_content_text",

@@ -43,6 +43,7 @@ MACROS = {
     "SET": (lambda x: f"array_join(array_sort(collect_set({x})), ', ')", lambda x: f"coalesce(array_to_string(list_sort(list_distinct(list({x}))), ', '), '')"),
     "SUM1": (lambda x: f"count_if({x})", lambda x: f"count(*) FILTER ({x})"),
     "HAS": (lambda x: f"regexp_like({x})", lambda x: f"regexp_matches({x})"),
+    "CUTOUT": (lambda x: f"regexp_replace({x}, '')", lambda x: f"regexp_replace({x}, '')"),
     "ALL": (lambda x: f"regexp_extract_all({x}, 0)", lambda x: f"regexp_extract_all({x})"),
     "JSONLIST": (lambda x: f"from_json({x}, 'array<string>')", lambda x: f"CAST({x} AS JSON)::VARCHAR[]"),
 }
@@ -61,7 +62,7 @@ def expand(sql: str, dialect: str) -> str:
                 depth += {"(": 1, ")": -1}.get(c, 0)
             end += 1
         inner = sql[m.end() : end - 1]
-        if dialect == "spark" and m[1] in ("ALL", "HAS"):
+        if dialect == "spark" and m[1] in ("ALL", "HAS", "CUTOUT"):
             inner = inner.replace("\\", "\\\\")
         sql = sql[: m.start()] + MACROS[m[1]][at](expand(inner, dialect)) + sql[end:]
     return sql
@@ -176,14 +177,22 @@ both(
 both("relation_edges", "SELECT PLAIN(doc_key) AS src, PLAIN(target_key) AS dst, relation, count(DISTINCT id) AS hits, min(zone_name) AS zone, min(article_number) AS article, max(in_thi_hanh) AS in_thi_hanh FROM citations WHERE relation IS NOT NULL AND PLAIN(target_key) IS NOT NULL GROUP BY PLAIN(doc_key), PLAIN(target_key), relation")
 both("citation_votes", "SELECT number_key, n, surface FROM (SELECT PLAIN(target_key) AS number_key, surface, count(*) AS k, sum(count(*)) OVER (PARTITION BY PLAIN(target_key)) AS n, row_number() OVER (PARTITION BY PLAIN(target_key) ORDER BY count(*) DESC, surface) AS nth FROM citations WHERE surface IS NOT NULL AND PLAIN(target_key) IS NOT NULL GROUP BY PLAIN(target_key), surface) x WHERE nth = 1 AND n >= 3")
 both("citation_report", "SELECT zone_name, part_kind, relation, count(DISTINCT id) AS n, sum(n1) AS resolved FROM (SELECT id, zone_name, part_kind, relation, max(CASE WHEN resolved = 1 THEN 1 ELSE 0 END) AS n1 FROM citations GROUP BY id, zone_name, part_kind, relation) x GROUP BY zone_name, part_kind, relation")
-both("header_check", "SELECT rec_id, CASE WHEN raw_txt IS NULL THEN 'khong-thay' WHEN contains(substring(raw_txt, 1, 1800), doc_key) THEN 'khop' WHEN contains(replace(substring(raw_txt, 1, 1800), ' ', ''), doc_key) THEN 'gan-khop' ELSE 'khong-thay' END AS verdict FROM docs")
-both(
-    "missing_basis",
-    f"WITH f AS (SELECT DISTINCT rec_id, doc_key, unnest(ALL(raw_txt, '(?m)^Căn cứ [^;]*?{_NUM}')) AS line FROM docs), n AS (SELECT DISTINCT doc_key, regexp_extract(line, '({_NUM})', 1) AS k FROM f) "
-    "SELECT n.doc_key, n.k AS target FROM n WHERE NOT EXISTS (SELECT 1 FROM citations c WHERE c.doc_key = n.doc_key AND c.target_key = n.k AND c.relation = 'BASED_ON')",
-    spark=f"WITH f AS (SELECT DISTINCT rec_id, doc_key, explode(ALL(raw_txt, '(?m)^Căn cứ [^;]*?{_NUM}')) AS line FROM docs), n AS (SELECT DISTINCT doc_key, regexp_extract(line, '({_NUM})', 1) AS k FROM f) "
-    "SELECT n.doc_key, n.k AS target FROM n WHERE NOT EXISTS (SELECT 1 FROM citations c WHERE c.doc_key = n.doc_key AND c.target_key = n.k AND c.relation = 'BASED_ON')",
-)
+# the head of a first page: after its mark, before the second page and the legal bases, and of a bounded length
+_HEAD = "substring(CUTOUT(CUTOUT(CUTOUT(raw_txt, '(?s)^.*?-----\\s*\\[Trang\\s*1\\]\\s*-----'), '(?s)-----\\s*\\[Trang\\s*2\\].*$'), '(?is)\\bc[aăâáàảãạ]n\\s*c[uưứúùủũụ].*$'), 1, 1800)"
+_PRINTED = "[0-9]{1,4}\\s*/\\s*(?:[0-9]{4}\\s*/\\s*)?[A-ZĐÐ]{1,8}[0-9]{0,2}(?:-[A-ZĐÐa-z0-9]{1,15})*"
+_HEADER = (
+    f"WITH f AS (SELECT rec_id, upper(FOLD(PLAIN(doc_key))) AS k, unnest(ALL({_HEAD}, '{_PRINTED}')) AS m FROM docs), g AS (SELECT DISTINCT rec_id, k, upper(FOLD(PLAIN(m))) AS p FROM f), "
+    "t AS (SELECT *, substring(k, length(split_part(k, '/', 1)) + 2) AS kt, substring(p, length(split_part(p, '/', 1)) + 2) AS pt, length(k) - length(replace(k, '/', '')) AS kn, length(p) - length(replace(p, '/', '')) AS pn FROM g), "
+    "v AS (SELECT rec_id, max(CASE WHEN k = p THEN 1 ELSE 0 END) AS same, max(CASE WHEN split_part(k, '/', 1) = split_part(p, '/', 1) AND (kn < 2 OR pn < 2 OR split_part(k, '/', 2) = split_part(p, '/', 2)) "
+    "AND (starts_with(kt, pt) OR starts_with(pt, kt)) THEN 1 ELSE 0 END) AS near FROM t GROUP BY rec_id) "
+    "SELECT d.rec_id, CASE WHEN v.rec_id IS NULL THEN 'khong-thay' WHEN same = 1 THEN 'khop' WHEN near = 1 THEN 'gan-khop' ELSE 'lech' END AS verdict FROM docs d LEFT JOIN v ON v.rec_id = d.rec_id"
+)
+both("header_check", _HEADER, spark=_HEADER.replace("unnest(", "explode(").replace("starts_with(", "startswith("))
+_BASIS = (
+    f"WITH f AS (SELECT DISTINCT doc_key, unnest(ALL(raw_txt, '(?m)^Căn cứ [^;]*')) AS line FROM docs), n AS (SELECT DISTINCT doc_key, unnest(ALL(line, '{_NUM}')) AS k FROM f) "
+    "SELECT n.doc_key, n.k AS target FROM n WHERE n.k <> n.doc_key AND NOT EXISTS (SELECT 1 FROM citations c WHERE c.doc_key = n.doc_key AND PLAIN(c.target_key) = n.k AND c.relation = 'BASED_ON')"
+)
+both("missing_basis", _BASIS, spark=_BASIS.replace("unnest(", "explode("))
 both(
     "page_of_article",
     "WITH m AS (SELECT rec_id, raw_txt, string_split(raw_txt, '----- [Trang ') AS s FROM docs WHERE raw_txt IS NOT NULL), p AS (SELECT rec_id, i, length(s[i]) AS len, try_cast(regexp_extract(s[i], '^([0-9]+)', 1) AS INT) AS page FROM (SELECT rec_id, s, unnest(range(1, len(s) + 1)) AS i FROM m)), "

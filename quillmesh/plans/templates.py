@@ -316,6 +316,9 @@ template(
 # --- regression and performance catalogues, and scenarios that are no variant of the above
 template("q_label_counts", 1, "counts", "SELECT 'Document' AS label, count(*) AS n FROM document UNION ALL SELECT 'Organization', count(*) FROM org UNION ALL SELECT 'Person', count(*) FROM person UNION ALL SELECT 'Article', count(*) FROM article UNION ALL SELECT 'NormativeContent', count(*) FROM content")
 template("q_relation_counts", 1, "counts", "SELECT rel, count(*) AS n FROM edge GROUP BY rel UNION ALL SELECT 'ISSUED_BY', count(*) FROM issued_by UNION ALL SELECT 'SIGNED_BY', count(*) FROM signed_by UNION ALL SELECT 'HAS_TOPIC', count(*) FROM topic UNION ALL SELECT 'MENTIONS', count(*) FROM mention UNION ALL SELECT 'APPLIES_TO', count(*) FROM applies_to")
+template("q12_mentions_count", 1, "counts", "SELECT count(*) AS total FROM mention")
+template("q14_applies_to_count", 1, "counts", "SELECT count(*) AS total FROM applies_to")
+template("s04_normative_content_active", 2, "scenario", "SELECT content_id, title FROM content WHERE content_type = :content_type AND status = :status", content_type="?content_type", status="CON_HIEU_LUC")
 template("q_repeals_count", 1, "counts", "SELECT count(*) AS n FROM edge WHERE rel = 'REPEALS'")
 template("q_stub_in_degree", 1, "counts", "SELECT d.doc_key, count(e.src) AS n FROM document d LEFT JOIN edge e ON e.dst = d.doc_key WHERE d.is_stub = 1 GROUP BY d.doc_key")
 template("b4_normative_content_by_type", 1, "counts", "SELECT content_type, count(*) AS n FROM content GROUP BY content_type")

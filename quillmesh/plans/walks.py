@@ -96,25 +96,32 @@ def tpl_doc_legal_basis_chain(graph: PropertyGraph) -> DataFrame:
 _ALL = "SELECT DISTINCT src AS n FROM edge WHERE rel IN ('AMENDS', 'REPLACES')"
 
 
-@_query(f"{_walk(_CHAIN, 4, _ALL)} SELECT depth, count(*) AS n FROM w WHERE depth > 0 GROUP BY depth")
+@_query(f"{_walk(_CHAIN, 5, _ALL)} SELECT depth, count(*) AS n FROM w WHERE depth > 0 GROUP BY depth")
 def b10_amends_replaces_depth_distribution(graph: PropertyGraph) -> DataFrame:
     """The number of trails of each length: paths, not pairs."""
-    return trails(_rels(graph, "AMENDS", "REPLACES"), 1, 5).groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
+    return trails(_rels(graph, "AMENDS", "REPLACES"), 1, 5, nodes=False).groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
 
 
-_REP = "SELECT DISTINCT src AS n FROM edge WHERE rel = 'REPLACES' AND src NOT IN (SELECT dst FROM edge WHERE rel = 'REPLACES')"
+_HEADS = f"SELECT DISTINCT src AS n FROM edge WHERE rel IN ({_CHAIN}) AND src NOT IN (SELECT dst FROM edge WHERE rel IN ({_CHAIN}))"
 
 
 @_query(
-    f"{_walk(chr(39) + 'REPLACES' + chr(39), 6, _REP)} SELECT start, fin AS finish, depth, array_to_string(nodes, ' > ') AS path FROM w WHERE depth >= 2 AND fin NOT IN (SELECT src FROM edge WHERE rel = 'REPLACES') ORDER BY depth DESC, start, path LIMIT 20"
+    f"{_walk(_CHAIN, 6, _HEADS)} SELECT array_to_string(nodes, ' > ') AS chain, depth AS length, d.title AS current_title FROM w JOIN document d ON d.doc_key = start "
+    f"WHERE depth >= 2 AND fin NOT IN (SELECT src FROM edge WHERE rel IN ({_CHAIN})) AND NOT (len(list_filter(nodes, lambda x: starts_with(x, '/'))) > 0) ORDER BY depth DESC, chain LIMIT 20"
 )
 def tpl_longest_replacement_chains(graph: PropertyGraph) -> DataFrame:
-    """Whole chains of replacements of two to six steps, longest first."""
-    e = _rels(graph, "REPLACES")
+    """Whole chains of replacements and amendments of two to six steps, longest first; broken numbers are passed over."""
+    e = _rels(graph, "AMENDS", "REPLACES")
     heads = e.select(F.col("src").alias("node")).distinct().join(e.select(F.col("dst").alias("node")), "node", "left_anti")
-    whole = trails(e, 2, 6, heads).join(e.select(F.col("src").alias("end")), "end", "left_anti")
-    out = whole.select("start", F.col("end").alias("finish"), "depth", F.array_join("nodes", " > ").alias("path"))
-    return out.orderBy(F.desc("depth"), "start", "path").limit(20)
+    whole = trails(e, 2, 6, heads).join(e.select(F.col("src").alias("end")), "end", "left_anti").where(~F.exists("nodes", lambda n: n.startswith("/")))
+    titled = whole.join(graph.document.select(F.col("doc_key").alias("start"), F.col("title").alias("current_title")), "start")
+    return titled.select(F.array_join("nodes", " > ").alias("chain"), F.col("depth").alias("length"), "current_title").orderBy(F.desc("length"), "chain").limit(20)
+
+
+@_query(f"{_walk(_CHAIN, 3, 'amender')} SELECT fin AS doc_key, depth FROM w WHERE depth > 0")
+def q3_multihop_amends_replaces(graph: PropertyGraph) -> DataFrame:
+    """The documents at the end of every chain of one to three steps from a document, with its length."""
+    return trails(_rels(graph, "AMENDS", "REPLACES"), 1, 3, _one(graph, "amender"), nodes=False).select(F.col("end").alias("doc_key"), "depth")
 
 
 @_query(
@@ -151,15 +158,31 @@ def timeline(graph: PropertyGraph) -> DataFrame:
     return d.groupBy(F.substring("issue_date", 1, 4).alias("year")).agg(F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("k"), F.lit(0)).alias("n_edges"))
 
 
+_CITES = "'BASED_ON', 'REFERENCES'"
+
+
 @_query(
-    ", s AS (SELECT src, array_to_string(list_sort(list(dst)), ', ') AS basis FROM edge WHERE rel = 'BASED_ON' GROUP BY src HAVING count(*) >= 2) "
-    "SELECT basis, count(*) AS n, array_to_string(list_sort(list(src)), ', ') AS docs FROM s GROUP BY basis HAVING count(*) >= 2"
+    f", pairs AS (SELECT DISTINCT src, dst FROM edge WHERE rel IN ({_CITES})) SELECT dst AS basis, count(*) AS n, string_agg(src, ', ' ORDER BY src) AS docs FROM pairs GROUP BY dst HAVING count(*) >= 5 ORDER BY n DESC, basis LIMIT 20"
 )
 def same_basis_clusters(graph: PropertyGraph) -> DataFrame:
-    """Documents with the very same legal bases."""
-    basis = _rels(graph, "BASED_ON").groupBy("src").agg(F.array_sort(F.collect_set("dst")).alias("b")).where(F.size("b") >= 2)
-    docs = basis.groupBy(F.array_join("b", ", ").alias("basis")).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("src")), ", ").alias("docs"))
-    return docs.where("n >= 2")
+    """The twenty documents that most others rest on, five at least, with those others."""
+    pairs = _rels(graph, "BASED_ON", "REFERENCES").select("src", "dst").distinct()
+    top = pairs.groupBy(F.col("dst").alias("basis")).agg(F.count(F.lit(1)).alias("n")).where("n >= 5").orderBy(F.desc("n"), "basis").limit(20)
+    # only the clusters of the report are listed
+    listed = pairs.join(F.broadcast(top.withColumnRenamed("basis", "dst")), "dst").groupBy(F.col("dst").alias("basis"), "n")
+    return listed.agg(F.array_join(F.array_sort(F.collect_list("src")), ", ").alias("docs"))
+
+
+@_query(
+    ", real AS (SELECT t.topic, d.doc_key FROM topic t JOIN document d ON d.doc_key = t.doc_key WHERE d.is_stub = 0), pairs AS (SELECT DISTINCT src, dst FROM edge) "
+    "SELECT a.topic AS from_topic, b.topic AS to_topic, count(*) AS n FROM pairs JOIN real a ON a.doc_key = src JOIN real b ON b.doc_key = dst GROUP BY a.topic, b.topic"
+)
+def topic_matrix(graph: PropertyGraph) -> DataFrame:
+    """Linked pairs of documents from topic to topic, one row a cell that is not empty."""
+    real = graph.topic.join(graph.document.where("is_stub = 0").select("doc_key"), "doc_key")
+    pairs = graph.edge.select("src", "dst").distinct()
+    a, b = real.select(F.col("doc_key").alias("src"), F.col("topic").alias("from_topic")), real.select(F.col("doc_key").alias("dst"), F.col("topic").alias("to_topic"))
+    return pairs.join(a, "src").join(b, "dst").groupBy("from_topic", "to_topic").agg(F.count(F.lit(1)).alias("n"))
 
 
 @_query(
@@ -167,12 +190,12 @@ def same_basis_clusters(graph: PropertyGraph) -> DataFrame:
     pr(it, n, r) AS (SELECT 0, n, 1.0::DOUBLE / c FROM nn, tot UNION ALL SELECT it + 1, n, r FROM (
       WITH cur AS (SELECT * FROM pr), gone AS (SELECT coalesce(sum(r), 0) AS g FROM cur WHERE n NOT IN (SELECT src FROM od)),
       got AS (SELECT dst AS n, sum(r / k) AS s FROM cur JOIN pe ON pe.src = cur.n JOIN od ON od.src = cur.n GROUP BY dst)
-      SELECT cur.it, cur.n, 0.15 / c + 0.85 * g / c + 0.85 * coalesce(s, 0) AS r FROM cur CROSS JOIN gone CROSS JOIN tot LEFT JOIN got ON got.n = cur.n) WHERE it < 8)
-    SELECT n AS doc_key, round(r, 9) AS rank FROM pr WHERE it = 8"""
+      SELECT cur.it, cur.n, 0.15 / c + 0.85 * g / c + 0.85 * coalesce(s, 0) AS r FROM cur CROSS JOIN gone CROSS JOIN tot LEFT JOIN got ON got.n = cur.n) WHERE it < 80)
+    SELECT n AS doc_key, round(r, 5) AS rank FROM pr WHERE it = 80"""
 )
 def document_pagerank(graph: PropertyGraph) -> DataFrame:
     """PageRank of the citation graph, iterated until a round moves less than a millionth of all rank."""
-    return pagerank(graph.edge, rounds=100, tolerance=1e-6).select(F.col("node").alias("doc_key"), F.round("rank", 9).alias("rank"))
+    return pagerank(graph.edge, rounds=100, tolerance=1e-6).select(F.col("node").alias("doc_key"), F.round("rank", 5).alias("rank"))
 
 
 @_query(
