@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.functions.numbers import PLAIN_NUMBER_SQL, plain_number
-from quillmesh.operators.hierarchy import descendants, hierarchy, subtree_sizes
+from quillmesh.operators.hierarchy import descendants, hierarchy
 from quillmesh.operators.orphans import play
 from quillmesh.runtime import table
 
@@ -38,21 +38,21 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_paths(spark: SparkSession, folder: str) -> DataFrame:
-    """Full path and subtree size of every number that is on no loop and below none."""
-    tree = hierarchy(_replaces(spark, folder)).where("depth >= 0")
-    return tree.join(subtree_sizes(tree), "node").select(
-        F.col("node").alias("doc_key"), F.array_join("path", " > ").alias("path"), "depth", "subtree_size"
-    )
+    """Full path, depth and subtree size of every number; below a loop the path begins at the loop."""
+    return hierarchy(_replaces(spark, folder)).select(F.col("node").alias("doc_key"), F.array_join("path", " > ").alias("path"), "depth", "subtree_size")
 
 
 def p4_descendants(spark: SparkSession, folder: str) -> DataFrame:
     """Every (ancestor, descendant) pair with its distance."""
-    return descendants(hierarchy(_replaces(spark, folder))).select(
-        F.col("node").alias("doc_key"), F.col("descendant").alias("descendant_key"), "distance"
-    )
+    return descendants(hierarchy(_replaces(spark, folder))).select(F.col("node").alias("doc_key"), F.col("descendant").alias("descendant_key"), "distance")
+
+
+def p4_loops(spark: SparkSession, folder: str) -> DataFrame:
+    """Every number on a loop, with the loop's smallest number and its length."""
+    return hierarchy(_replaces(spark, folder)).where("around is not null").select(F.col("root").alias("root_key"), F.col("node").alias("doc_key"), F.col("around").alias("loop_length"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_per_month, p4_found, p4_paths, p4_descendants)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_per_month, p4_found, p4_paths, p4_descendants, p4_loops)}
 
 _N = PLAIN_NUMBER_SQL.format
 _ORPHANS = f"""
@@ -87,11 +87,11 @@ ORACLE = {
     "p4_found": f"""WITH RECURSIVE {_TREE} SELECT k AS doc_key,
         CASE WHEN z IN (SELECT c FROM e) THEN list_min(path[list_position(path, z):]) ELSE z END AS root_key,
         CAST(CASE WHEN z IN (SELECT c FROM e) THEN -1 ELSE d END AS INTEGER) AS depth FROM top""",
-    "p4_paths": f"""WITH RECURSIVE {_TREE}, ok AS (SELECT * FROM top WHERE z NOT IN (SELECT c FROM e)),
-        s AS (SELECT x AS k, count(*) AS n FROM (SELECT unnest(path) AS x FROM ok) GROUP BY x)
-        SELECT ok.k AS doc_key, list_aggregate(list_reverse(path), 'string_agg', ' > ') AS path,
-        CAST(d AS INTEGER) AS depth, s.n AS subtree_size FROM ok JOIN s ON s.k = ok.k""",
-    "p4_descendants": f"""WITH RECURSIVE {_TREE}, ok AS (SELECT k FROM top WHERE z NOT IN (SELECT c FROM e))
-        SELECT z AS doc_key, k AS descendant_key, CAST(d AS INTEGER) AS distance FROM up
-        WHERE d > 0 AND k IN (SELECT k FROM ok)""",
+    "p4_paths": f"""WITH RECURSIVE {_TREE}, lp AS (SELECT DISTINCT k FROM up WHERE d > 0 AND k = z), reach AS (SELECT DISTINCT z, k FROM up),
+        s AS (SELECT z AS k, count(*) AS n FROM reach GROUP BY z), ent AS (SELECT k, arg_min(path, d) AS path FROM up WHERE z IN (SELECT k FROM lp) GROUP BY k)
+        SELECT top.k AS doc_key, list_aggregate(list_reverse(coalesce(ent.path, top.path)), 'string_agg', ' > ') AS path,
+        CAST(CASE WHEN ent.k IS NULL THEN top.d ELSE -1 END AS INTEGER) AS depth, s.n AS subtree_size FROM top JOIN s ON s.k = top.k LEFT JOIN ent ON ent.k = top.k""",
+    "p4_descendants": f"""WITH RECURSIVE {_TREE} SELECT z AS doc_key, k AS descendant_key, CAST(min(d) AS INTEGER) AS distance FROM up WHERE d > 0 AND k <> z GROUP BY z, k""",
+    "p4_loops": f"""WITH RECURSIVE {_TREE}, lp AS (SELECT k, min(d) AS n FROM up WHERE d > 0 AND k = z GROUP BY k)
+        SELECT (SELECT min(u.z) FROM up u WHERE u.k = lp.k) AS root_key, k AS doc_key, CAST(n AS INTEGER) AS loop_length FROM lp""",
 }

@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from quillmesh.operators.hierarchy import descendants, hierarchy, subtree_sizes
+from quillmesh.operators.hierarchy import descendants, further_parents, hierarchy, subtree_sizes
+from quillmesh.runtime import cut
 
 
 def brute(parent):
@@ -14,7 +15,9 @@ def brute(parent):
             path.append(x)
         if x in parent:
             loop = path[path.index(parent[x]) :]
-            out[n] = (min(loop), -1, None)
+            on = {*loop}
+            first = next(k for k, y in enumerate(path) if y in on)
+            out[n] = (min(loop), -1, path[: first + 1][::-1])
         else:
             out[n] = (x, len(path) - 1, path[::-1])
     return out
@@ -36,15 +39,29 @@ def test_against_brute_force(spark, seed):
     parent = made(random.Random(seed), 120)
     rows = [(c, p, "c") for c, p in parent.items()]
     rows += rows[:10] + [(None, "a", ""), ("a", None, ""), (None, None, "")]
-    tree = hierarchy(spark.createDataFrame(rows, "child string, parent string, root string"))
+    links = spark.createDataFrame(rows, "child string, parent string, root string")
+    tree = cut(hierarchy(links))
     want = brute(parent)
     got = {r["node"]: (r["root"], r["depth"], r["path"]) for r in tree.collect()}
     assert got == want
-    below = {(r["node"], r["descendant"]): r["distance"] for r in descendants(tree).collect()}
-    paths = {n: p for n, (_, d, p) in want.items() if d >= 0}
-    assert below == {(a, n): len(p) - 1 - k for n, p in paths.items() for k, a in enumerate(p[:-1])}
+    reach = {}
+    for n in want:
+        x, d = n, 0
+        while x in parent and (n, parent[x]) not in reach and parent[x] != n:
+            x, d = parent[x], d + 1
+            reach[n, x] = d
+    below = [(r["descendant"], r["node"], r["distance"]) for r in descendants(tree).collect()]
+    assert len(below) == len(reach) and {(a, b): d for a, b, d in below} == reach
     sizes = {r["node"]: r["subtree_size"] for r in subtree_sizes(tree).collect()}
-    assert sizes == {n: sum(n in p for p in paths.values()) for n in paths}
+    assert sizes == {n: 1 + sum(b == n for _, b in reach) for n in want}
+    assert {(r["node"], r["around"]) for r in tree.where("around is not null").collect()} >= {("x", 2), ("y", 2), ("z", 1)}
+    bare = {r["node"]: (r["root"], r["depth"]) for r in hierarchy(links, paths=False).collect()}
+    assert bare == {n: w[:2] for n, w in want.items()}
+
+
+def test_further_parents_are_told(spark):
+    links = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "c"), ("d", "b"), (None, "b")], "child string, parent string")
+    assert [tuple(r) for r in further_parents(links).collect()] == [("a", "c")]
 
 
 def test_empty_and_without_paths(spark):
