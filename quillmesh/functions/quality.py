@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions.text import folded, iso_date
 
-# fixed values: authority levels by kind of document, and by kind of organisation for the rest
-TYPE_LEVELS = {"hien phap": 1, "luat": 1, "phap lenh": 1, "nghi dinh": 2, "thong tu lien tich": 3, "thong tu": 3}
-ORG_LEVELS = {"quoc_hoi": 1, "chinh_phu": 2, "thu_tuong": 2, "bo_nganh": 3, "dai_hoc_vung": 4, "truong_thanh_vien": 5, "don_vi_truc_thuoc": 6}
+# fixed values: authority levels by kind of organisation, and by kind of document for the rest; 6 is the highest
+ORG_LEVELS = {"quoc_hoi": 5, "chinh_phu": 4, "thu_tuong": 3, "bo_nganh": 3, "dai_hoc_vung": 2, "truong_thanh_vien": 1}
+TYPE_LEVELS = {"hien phap": 6, "luat": 5, "phap lenh": 5, "nghi dinh": 4, "thong tu": 3, "thong tu lien tich": 3}
 _LOOKALIKE = ("lI|oOSBZ", "11100582")
 
 
@@ -19,10 +19,14 @@ def _lookup(key: Column, table: dict[str, int]) -> Column:
 
 
 def authority_level(doc_type: Column, org_type: Column) -> Column:
-    """(level, note): by the kind of document, else by that of its issuer, else null; the note says which."""
-    a, b = _lookup(folded(doc_type), TYPE_LEVELS), _lookup(org_type, ORG_LEVELS)
-    note = F.when(a.isNotNull(), "type").when(b.isNotNull(), "issuer").otherwise("unknown")
-    return F.struct(F.coalesce(a, b).alias("level"), note.alias("note"))
+    """(level, note): the constitution's, else that of the issuer's kind, else that of the document's, else null; the note says which.
+
+    The issuer goes before the kind of document, since every level issues decisions.
+    """
+    kind, issuer = _lookup(folded(doc_type), TYPE_LEVELS), _lookup(org_type, ORG_LEVELS)
+    top = F.when(kind == 6, kind)
+    note = F.when(top.isNotNull() | issuer.isNotNull(), "onto").when(kind.isNotNull(), "onto: theo-loai").otherwise("khong-suy-duoc")
+    return F.struct(F.coalesce(top, issuer, kind).alias("level"), note.alias("note"))
 
 
 def validity(text: Column, effective: Column, as_of: Column) -> Column:

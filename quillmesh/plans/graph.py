@@ -7,6 +7,7 @@ from a graph store. ``VIEWS_SQL`` states the same frames for DuckDB.
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions.numbers import PLAIN_NUMBER_SQL, plain_number
 from quillmesh.functions.text import iso_date, slug
-from quillmesh.runtime import checkpoint_dir, cut, table
+from quillmesh.runtime import BROADCAST_ROWS, checkpoint_dir, cut, maybe_broadcast, table
 
 _LOADED: dict[tuple[str, str], PropertyGraph] = {}
 CITING = ("BASED_ON", "REFERENCES", "REPLACES", "AMENDS", "REPEALS")
@@ -73,7 +74,7 @@ class PropertyGraph:
     def issued_by(self) -> DataFrame:
         """The issuer by the number's organisation code: its last part, else the first after the slash."""
         key = F.col("doc_key")
-        codes = F.broadcast(self.org.select("org_id", "short_code"))  # a fixed list of organisations
+        codes = maybe_broadcast(self.org.select("org_id", "short_code"))
         d = self.document.select("doc_key", F.regexp_extract(key, "([^/-]+)$", 1).alias("tail"), F.regexp_extract(key, "/([^/-]+)-[^/-]+$", 1).alias("head"))
         a, b = codes.select(F.col("org_id").alias("o1"), F.col("short_code").alias("tail")), codes.select(F.col("org_id").alias("o2"), F.col("short_code").alias("head"))
         return cut(d.join(a, "tail", "left").join(b, "head", "left").select("doc_key", F.coalesce("o1", "o2").alias("org_id")).where("org_id is not null"))
@@ -151,15 +152,15 @@ class PropertyGraph:
     @cached_property
     def mention(self) -> DataFrame:
         """The organisations whose names stand in a document's text, found in one scan by an alternation of the list."""
-        names = self.org.select("org_id", "org_name").orderBy(F.length("org_name").desc(), "org_name").collect()  # a fixed list
-        pattern = "(" + "|".join(r["org_name"] for r in names) + ")"
+        names = self.org.select("org_name").where("org_name <> ''").orderBy(F.length("org_name").desc(), "org_name").limit(BROADCAST_ROWS + 1).collect()
+        if len(names) > BROADCAST_ROWS:
+            raise ValueError(f"more than {BROADCAST_ROWS} names are too many for one pattern")
+        pattern = "(" + "|".join(re.escape(r["org_name"]) for r in names) + ")"
         found = self._latest.where("is_stub = 0").select("doc_key", F.explode(F.regexp_extract_all("raw_txt", F.lit(pattern), F.lit(0))).alias("org_name"))
-        return cut(found.groupBy("doc_key", "org_name").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(self.org.select("org_id", "org_name")), "org_name").select("doc_key", "org_id", "n"))
+        return cut(found.groupBy("doc_key", "org_name").agg(F.count(F.lit(1)).alias("n")).join(maybe_broadcast(self.org.select("org_id", "org_name")), "org_name").select("doc_key", "org_id", "n"))
 
     def views(self, sql: str) -> dict[str, DataFrame]:
         """The frames whose names stand in ``sql``."""
-        import re
-
         words = set(re.findall(r"\w+", sql))
         return {v: getattr(self, v) for v in VIEWS if v in words}
 

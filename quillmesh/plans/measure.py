@@ -9,7 +9,7 @@ from quillmesh.functions.text import folded
 from quillmesh.operators import metrics
 from quillmesh.plans import find, tables, templates, walks
 from quillmesh.plans.graph import FOLD_SQL, VIEWS_SQL, PropertyGraph
-from quillmesh.runtime import table
+from quillmesh.runtime import maybe_broadcast, table
 
 QUERIES, ORACLE = {}, {}
 
@@ -77,7 +77,7 @@ def macro_means(spark: SparkSession, folder: str) -> DataFrame:
     run, gold = _run_and_gold(spark, folder)
     hit = run.join(gold.withColumn("rel", F.lit(1)), ["qid", "key"], "left")
     per = hit.groupBy("qid").agg((F.count("rel") / F.count(F.lit(1))).alias("p"))
-    typed = per.join(F.broadcast(PropertyGraph.of(spark, folder).org.select(F.col("org_id").alias("qid"), "org_type")), "qid")
+    typed = per.join(maybe_broadcast(PropertyGraph.of(spark, folder).org.select(F.col("org_id").alias("qid"), "org_type")), "qid")
     agg = (F.count(F.lit(1)).alias("n"), F.round(F.avg("p"), 6).alias("mean_p"))
     return typed.groupBy(F.col("org_type").alias("grp")).agg(*agg).unionByName(typed.agg(*agg).select(F.lit("all").alias("grp"), "n", "mean_p"))
 

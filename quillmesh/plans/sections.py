@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillmesh.functions.quality import ORG_LEVELS
 from quillmesh.operators.hierarchy import hierarchy
 from quillmesh.operators.search import any_of, ranked, search
 from quillmesh.plans import find, tables
 from quillmesh.plans.graph import VIEWS_SQL, PropertyGraph
+from quillmesh.runtime import maybe_broadcast
 
 QUERIES, ORACLE = {}, {}
 
@@ -82,8 +84,7 @@ _both(
     spark=f"WITH {_KEYS}, {_FF}, pp AS (SELECT cut, count(*) AS n, min(known) AS known FROM (SELECT known, substring(known, 1, pos) AS cut FROM k LATERAL VIEW explode(sequence(1, length(known) - 1)) e AS pos "
     f"WHERE substring(known, pos + 1, 1) IN ('-', '/')) x GROUP BY cut) {_TIERS}",
 )
-# fixed values: the authority level of a kind of organisation
-_LEVELS = {"quoc_hoi": 1, "chinh_phu": 2, "thu_tuong": 2, "bo_nganh": 3, "dai_hoc_vung": 4, "truong_thanh_vien": 5}
+_LEVELS = ORG_LEVELS
 _CASE = "CASE org_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _LEVELS.items()) + " END"
 
 
@@ -101,7 +102,7 @@ def resolve_level(graph: PropertyGraph) -> DataFrame:
     near = up.join(org.select(F.col("org_name").alias("above"), "own"), "above").where("own is not null").groupBy("node").agg(F.max_by("own", "pos").alias("level"))
     bare = graph.document.where("level is null").select("doc_key")
     of = org.join(near, org["org_name"] == near["node"]).select("org_id", "level")
-    return graph.issued_by.join(bare, "doc_key").join(F.broadcast(of), "org_id").select("doc_key", "level")
+    return graph.issued_by.join(bare, "doc_key").join(maybe_broadcast(of), "org_id").select("doc_key", "level")
 
 
 @_query(

@@ -9,8 +9,10 @@ def run(spark, make, *rows):
 
 
 def test_levels(spark):
-    got = run(spark, Q.authority_level, ("Nghị định", None), ("Quyết định", "bo_nganh"), ("Quyết định", "?"), (None, None))
-    assert [tuple(g) for g in got] == [(2, "type"), (3, "issuer"), (None, "unknown"), (None, "unknown")]
+    rows = [("Nghị định", None), ("Nghị định", "dai_hoc_vung"), ("HIẾN PHÁP", "bo_nganh"), ("Quyết định", "truong_thanh_vien"), ("Luật", "phong_ban"), ("Quyết định", "?"), (None, None)]
+    got = run(spark, Q.authority_level, *rows)
+    assert [g[0] for g in got] == [4, 2, 6, 1, 5, None, None]
+    assert [g[1] for g in got] == ["onto: theo-loai", "onto", "onto", "onto", "onto: theo-loai", "khong-suy-duoc", "khong-suy-duoc"]
 
 
 def test_validity(spark):
