@@ -19,6 +19,7 @@ pair's occurrences nor a document's are ever gathered, and no corpus-wide table
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -80,150 +81,189 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return (left * np.int64(-7046029254386353131)) ^ (right * np.int64(-4417276706812531889) + np.int64(1442695040888963407))
 
 
+class _Chunks(dict):
+    """The number of each chunk of text between blanks; a new one is taken apart once."""
+
+    def __init__(self, words: Words):
+        self.words = words
+
+    def __missing__(self, chunk: str) -> int:
+        w = self.words
+        self[chunk] = k = len(w.first)
+        w.first.append(len(w.flat))
+        w.flat.extend(w.number[x] if x in w.number else w.new(x) for x in fold_words(chunk) if len(x) > 1 and not x.isdigit())
+        w.count.append(len(w.flat) - w.first[k])
+        return k
+
+
 class Words:
-    """Keys and lengths of words and marks, remembered by the chunks of text they stand in."""
+    """Words and marks by number, with their keys and lengths, and the chunks of text they stand in."""
 
     def __init__(self):
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
-
-    def plain(self, text: str) -> tuple[list[int], list[int]]:
-        if len(self.known) > 500_000:
-            self.known.clear()
-        keys, lens = [], []
-        for chunk in text.split():
-            got = self.known.get(chunk)
-            if got is None:
-                words = [w for w in fold_words(chunk) if len(w) > 1 and not w.isdigit()]
-                got = [_hash(w) for w in words], [len(w) for w in words]
-                if len(chunk) < 64:
-                    self.known[chunk] = got
-            keys += got[0]
-            lens += got[1]
-        return keys, lens
-
-    def __call__(self, unit: str) -> tuple[list[int], list[int]]:
-        """(keys, characters) of a unit's words and marks; a mark at its begin has the begin before it."""
-        if not _ANY_MARK.search(unit):
-            return self.plain(unit)
-        links: list[int] = []
+        self.begin()
+
+    def begin(self) -> None:
+        self.number: dict[str, int] = {}
+        self.keys, self.size = array("q", range(LINK, WORD + 1)), array("i", [1, 6, 1, 0, 0])
+        self.first, self.count, self.flat = array("i"), array("i"), array("i")
+        self.chunks = _Chunks(self)
+        for k, mark in enumerate([*_MARKS, "\x04"]):
+            self.chunks[mark] = k
+            self.first.append(k)
+            self.count.append(1)
+            self.flat.append(k)
+
+    def new(self, word: str) -> int:
+        self.number[word] = k = len(self.keys)
+        self.keys.append(_hash(word))
+        self.size.append(len(word))
+        return k
+
+    def marked(self, unit: str, ids: array, links: list[tuple[int, int]]) -> None:
+        """The chunks of a unit with marks to ``ids``, the lengths of its links to ``links``; a mark at its begin has the begin before it."""
+        lens: list[int] = []
 
         def link(m: re.Match) -> str:
-            links.append(len(m[0]))
+            lens.append(len(m[0]))
             return " \x01 "
 
         text = _BAR.sub(" \x03 ", _PRICE.sub(" \x02 ", _LINK.sub(link, unit.translate(_NO_MARKS))))
-        keys, lens, left = [], [], iter(links)
-        for part in re.split("([\x01\x02\x03])", text):
-            if part in _MARKS:
-                keys.append(_MARKS[part])
-                lens.append(next(left) if part == "\x01" else 6 if part == "\x02" else 1)
-            else:
-                k, n = self.plain(part)
-                keys += k
-                lens += n
-        if keys and LINK <= keys[0] <= BAR:
-            keys.insert(0, BEGIN)
-            lens.insert(0, 0)
-        return keys, lens
+        got = [self.chunks[c] for c in text.split()]
+        first = next((k for k in got if self.count[k]), None)
+        if first is not None and first < BEGIN - LINK:
+            ids.append(BEGIN - LINK)
+        at = len(ids)
+        ids.extend(got)
+        links += zip((at + k for k, c in enumerate(got) if c == 0), lens)
 
 
 class Batch:
-    """Texts as word keys, with the lengths of words, units and documents."""
+    """Texts as numbers of the distinct words they have, with the lengths of words, units and documents."""
 
-    FIELDS = ("keys", "lens", "unit", "doc", "chars")
+    FIELDS = ("vocab", "word", "lens", "unit", "doc", "chars")
 
-    def __init__(self, **arrays: np.ndarray):
+    def __init__(self, texts: int, **arrays: np.ndarray):
+        self.texts = texts
         self.__dict__.update(arrays)
 
     @staticmethod
     def of(texts: list[str | None], words: Words) -> Batch:
-        keys, lens, n_words, doc, chars = [], [], [], [], []
+        if len(words.first) > 500_000:
+            words.begin()
+        get = words.chunks.__getitem__
+        ids, links = array("i"), []
+        n_chunks, doc, chars = array("i"), array("i"), array("i")
         for d, text in enumerate(texts):
             for u in units(repaired(text)) if text else ():
-                k, n = words(u)
-                keys += k
-                lens += n
-                n_words.append(len(k))
+                before = len(ids)
+                if _ANY_MARK.search(u):
+                    words.marked(u, ids, links)
+                else:
+                    ids.extend(map(get, u.split()))
+                n_chunks.append(len(ids) - before)
                 doc.append(d)
                 chars.append(len(u))
-        unit = np.repeat(np.arange(len(doc), dtype=np.int64), n_words)
-        return Batch(keys=np.array(keys, np.int64), lens=np.array(lens, np.int64), unit=unit, doc=np.array(doc, np.int64), chars=np.array(chars, np.int64))
+        ids = np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32)
+        count, first = np.array(words.count)[ids].astype(np.int64), np.array(words.first)[ids]
+        begins = np.cumsum(count) - count
+        word = np.array(words.flat)[np.arange(count.sum()) + np.repeat(first - begins, count)]
+        lens = np.array(words.size)[word].astype(np.int64)
+        if links:
+            at, n = np.array(links).T
+            lens[begins[at]] = n
+        unit = np.repeat(np.repeat(np.arange(len(doc)), np.array(n_chunks, np.int64)), count)
+        used = np.nonzero(np.bincount(word, minlength=1))[0] if len(word) else np.zeros(0, np.int64)
+        local = np.zeros(int(used[-1]) + 1 if len(used) else 1, np.int64)
+        local[used] = np.arange(len(used))
+        vocab = np.array(words.keys, np.int64)[used]
+        return Batch(len(texts), vocab=vocab, word=local[word], lens=lens, unit=unit, doc=np.array(doc, np.int64), chars=np.array(chars, np.int64))
 
     def packed(self) -> bytes:
-        """The batch in few bytes: every word as its place among the batch's distinct ones."""
-        vocab, at = np.unique(self.keys, return_inverse=True)
+        """The batch in few bytes."""
         n = np.bincount(self.unit, minlength=len(self.doc))
-        parts = [np.array([len(vocab), len(at), len(n)], np.int64), vocab, at.astype(np.int32), self.lens.astype(np.int32), n.astype(np.int32), self.doc.astype(np.int32), self.chars.astype(np.int32)]
-        raw = b"".join(p.tobytes() for p in parts)
+        small = (x.astype(np.int32).tobytes() for x in (self.word, self.lens, n, self.doc, self.chars))
+        raw = b"".join([np.array([self.texts, len(self.vocab), len(self.word), len(n)], np.int64).tobytes(), self.vocab.tobytes(), *small])
         return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
 
     @staticmethod
     def unpacked(blob: bytes) -> Batch:
         raw = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
-        a, b, c = np.frombuffer(raw, np.int64, 3)
-        vocab = np.frombuffer(raw, np.int64, a, 24)
-        rest = np.frombuffer(raw, np.int32, -1, 24 + 8 * a)
-        at, lens, n, doc, chars = np.split(rest, np.cumsum([b, b, c, c]))
-        return Batch(keys=vocab[at], lens=lens.astype(np.int64), unit=np.repeat(np.arange(c), n), doc=doc.astype(np.int64), chars=chars.astype(np.int64))
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """(positions of the left of neighbours in one unit, pair keys); a word beside a mark is any word."""
-        at = np.nonzero(self.unit[:-1] == self.unit[1:])[0] if len(self.keys) > 1 else np.zeros(0, np.int64)
-        a, b = self.keys[at].copy(), self.keys[at + 1].copy()
-        ma, mb = (a >= LINK) & (a < WORD), (b >= LINK) & (b < WORD)
-        a[mb & ~ma] = WORD
-        b[ma & ~mb] = WORD
-        return at, pair_keys(a, b)
-
-    def repeats(self, at: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of each pair: (its count in its document, the words of that, whether that repeats it)."""
-        if not len(at):
-            return np.zeros(0), np.zeros(0), np.zeros(0, bool)
-        of = self.doc[self.unit[at]]
-        _, back, times = np.unique(pair_keys(of, pair), return_inverse=True, return_counts=True)
-        mine, size = times[back], np.bincount(self.doc[self.unit])[of]
-        return mine, size, (mine >= OFTEN) & (mine >= SHARE * size)
+        texts, a, b, c = np.frombuffer(raw, np.int64, 4).tolist()
+        vocab = np.frombuffer(raw, np.int64, a, 32)
+        word, lens, n, doc, chars = (x.astype(np.int64) for x in np.split(np.frombuffer(raw, np.int32, -1, 32 + 8 * a), np.cumsum([b, b, c, c])))
+        return Batch(texts, vocab=vocab, word=word, lens=lens, unit=np.repeat(np.arange(c), n), doc=doc, chars=chars)
+
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """(positions of the left of neighbours in one unit, numbers of pair and document together); a word beside a mark is any word."""
+        at = np.nonzero(self.unit[:-1] == self.unit[1:])[0] if len(self.word) > 1 else np.zeros(0, np.int64)
+        a, b = self.word[at], self.word[at + 1]
+        mark = (self.vocab >= LINK) & (self.vocab < WORD)
+        if mark.any():
+            ma, mb = mark[a], mark[b]
+            a, b = np.where(mb & ~ma, len(self.vocab), a), np.where(ma & ~mb, len(self.vocab), b)
+        return at, (a * (len(self.vocab) + 1) + b) * self.texts + self.doc[self.unit[at]]
+
+    def _grouped(self, ordered: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of sorted numbers of pair and document: (begins, counts, words of the document, whether it repeats the pair, begins of the pairs among these, pairs)."""
+        begins = np.nonzero(np.diff(ordered, prepend=-1))[0]
+        mine = np.diff(begins, append=len(ordered))
+        pair, of = ordered[begins] // max(self.texts, 1), ordered[begins] % max(self.texts, 1)
+        size = np.bincount(self.doc[self.unit], minlength=self.texts)[of]
+        first = np.nonzero(np.diff(pair, prepend=-1))[0]
+        return begins, mine, size, (mine >= OFTEN) & (mine >= SHARE * size), first, pair[first]
+
+    def _keys_of(self, pair: np.ndarray) -> np.ndarray:
+        keys = np.append(self.vocab, WORD)
+        return pair_keys(keys[pair // len(keys)], keys[pair % len(keys)])
 
     def counts(self) -> tuple[np.ndarray, ...]:
         """(key, n, words, again) of the distinct words and pairs."""
-        at, pair = self.pairs()
-        k1, n1 = np.unique(self.keys, return_counts=True)
-        k2, back, n2 = np.unique(pair, return_inverse=True, return_counts=True)
-        again = np.bincount(back, weights=self.repeats(at, pair)[2], minlength=len(k2)).astype(np.int64)
-        none = np.zeros(len(k1), np.int64)
-        return np.concatenate([k1, k2]), np.concatenate([n1, n2]).astype(np.int64), np.concatenate([n1, np.zeros(len(k2), np.int64)]).astype(np.int64), np.concatenate([none, again])
-
-    def stuffed(self, texts: int, key: np.ndarray, count: np.ndarray, again: np.ndarray, total: float, rest: float) -> np.ndarray:
-        """Which of the ``texts`` are stuffed, given the corpus counts of all their words and pairs (sorted by key).
+        n1 = np.bincount(self.word, minlength=len(self.vocab)).astype(np.int64)
+        ordered = np.sort(self._pairs()[1])
+        if not len(ordered):
+            return self.vocab, n1, n1, np.zeros(len(n1), np.int64)
+        _, mine, _, repeats, first, pair = self._grouped(ordered)
+        n2, again = np.add.reduceat(mine, first), np.add.reduceat(mine * repeats, first)
+        none = lambda x: np.zeros(len(x), np.int64)
+        return np.concatenate([self.vocab, self._keys_of(pair)]), np.concatenate([n1, n2]), np.concatenate([n1, none(n2)]), np.concatenate([none(n1), again])
+
+    def stuffed(self, key: np.ndarray, count: np.ndarray, again: np.ndarray, total: float, rest: float) -> np.ndarray:
+        """Which of the texts are stuffed, given the corpus counts of all their words and pairs (sorted by key).
 
         ``again`` has the part of each count that is in documents repeating the pair; ``total`` are
         the words of the corpus, ``rest`` those without all such parts.
         """
         n_units = len(self.doc)
-        per_unit = lambda w=None: np.bincount(self.unit[at], weights=w, minlength=n_units) if len(at) else np.zeros(n_units)
-        at, pair = self.pairs()
-        where = np.searchsorted(key, pair)
-        pair_n = count[where] if len(pair) else np.zeros(0)
-        of = lambda k: count[np.searchsorted(key, k)] if len(k) else np.zeros(0)
-        words = (self.keys[at] < LINK) | (self.keys[at] > WORD)
-        words &= (self.keys[at + 1] < LINK) | (self.keys[at + 1] > WORD) if len(at) else words
-        pmi = np.where(words, np.log(pair_n * total / np.maximum(of(self.keys[at]) * of(self.keys[at + 1]), 1)), 0.0) if len(at) else np.zeros(0)
-        per = per_unit(words)
-        salad = (per >= SALAD_PAIRS) & (per_unit(pmi) / np.maximum(per, 1) < SALAD_PMI)
-        # the pair's count in its document against what the rest of the corpus has of it
-        mine, size, repeats = self.repeats(at, pair)
-        excess = repeats & (mine * rest >= EXCESS * size * np.maximum(pair_n - again[where], 1)) if len(pair) else repeats
-        covered = np.zeros(len(self.keys), bool)
+        at, number = self._pairs()
+        excess, pmi = np.zeros(len(at), bool), np.zeros(len(at))
+        word = (self.vocab < LINK) | (self.vocab > WORD)
+        if len(at):
+            order = np.argsort(number)
+            _, mine, size, repeats, first, pair = self._grouped(number[order])
+            where = np.searchsorted(key, self._keys_of(pair))
+            pair_n, seldom = count[where], np.maximum(count[where] - again[where], 1)
+            of = np.append(count[np.searchsorted(key, self.vocab)], 1.0)
+            a, b = pair // (len(self.vocab) + 1), pair % (len(self.vocab) + 1)
+            groups = np.diff(first, append=len(mine))
+            # the pair's count in its document against what the rest of the corpus has of it
+            excess[order] = np.repeat(repeats & (mine * rest >= EXCESS * size * np.repeat(seldom, groups)), mine)
+            pmi[order] = np.repeat(np.repeat(np.log(pair_n * total / (of[a] * of[b])), groups), mine)
+        per_unit = lambda w: np.bincount(self.unit[at], weights=w, minlength=n_units) if len(at) else np.zeros(n_units)
+        by_unit = lambda w: np.bincount(self.unit, weights=w, minlength=n_units) if len(self.unit) else np.zeros(n_units)
+        plain = word[self.word[at]] & word[self.word[at + 1]] if len(at) else excess
+        per = per_unit(plain)
+        salad = (per >= SALAD_PAIRS) & (per_unit(pmi * plain) / np.maximum(per, 1) < SALAD_PMI)
+        covered = np.zeros(len(self.word), bool)
         covered[at[excess]] = True
         covered[at[excess] + 1] = True
-        by_unit = lambda w: np.bincount(self.unit, weights=w, minlength=n_units) if len(self.unit) else np.zeros(n_units)
         share = by_unit(self.lens * covered) / np.maximum(by_unit(self.lens), 1)
-        _, back, times = np.unique(pair_keys(self.unit[at], pair), return_inverse=True, return_counts=True)
-        twice = per_unit(excess & (times[back] >= 2)) > 0 if len(at) else np.zeros(n_units, bool)
-        marked = by_unit((self.keys >= LINK) & (self.keys < WORD)) > 0
+        inside, times = np.unique(np.stack([self.unit[at[excess]], number[excess]]), axis=1, return_counts=True)
+        twice = np.zeros(n_units, bool)
+        twice[inside[0][times >= 2]] = True
+        marked = by_unit(~word[self.word]) > 0
         bad = salad | (twice & (share >= TWICE)) | (marked & (share >= MARKED)) | (share >= ELSE)
-        whole = np.bincount(self.doc, weights=self.chars, minlength=texts)
-        part = np.bincount(self.doc, weights=self.chars * bad, minlength=texts)
+        whole = np.bincount(self.doc, weights=self.chars, minlength=self.texts)
+        part = np.bincount(self.doc, weights=self.chars * bad, minlength=self.texts)
         return (part > MOSTLY * whole) & (whole > 0)
 
 
@@ -279,7 +319,7 @@ def find_stuffed(docs: DataFrame) -> DataFrame:
         order = np.argsort(key)
         for ids, blob in zip(texts.column("ids").to_pylist(), texts.column("packed").to_pylist()):
             ids = np.frombuffer(ids, np.int64)
-            found.append(ids[Batch.unpacked(blob).stuffed(len(ids), key[order], n[order].astype(float), again[order], total, total - repeated)])
+            found.append(ids[Batch.unpacked(blob).stuffed(key[order], n[order].astype(float), again[order], total, total - repeated)])
         return pa.table({"doc_id": pa.array(np.concatenate(found), pa.int64())})
 
     return packed.groupBy("no").cogroup(wanted.groupBy("batch")).applyInArrow(judge, "doc_id bigint").distinct()

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from quillmesh.llm.stuffing import Batch, Words, find_stuffed, pair_keys
+from quillmesh.llm.stuffing import LINK, Batch, Words, find_stuffed, pair_keys
 
 NOUNS = "phòng chức năng;hội đồng khoa;người học;ban quản lý;thư viện trung tâm;cố vấn lớp;đơn vị đào luyện;tổ bảo vệ;nhóm nghiên cứu;trạm y tế".split(";")
 VERBS = "phải nộp;được giao gia hạn;cần kiểm kê;nên công khai;chịu trách nhiệm rà soát;có thể bổ sung;không được cấp lại".split(";")
@@ -78,7 +78,14 @@ def test_batches_come_back_as_they_were():
     back = Batch.unpacked(batch.packed())
     for f in Batch.FIELDS:
         assert np.array_equal(getattr(batch, f), getattr(back, f)), f
-    assert len(Batch.unpacked(Batch.of([None, ""], Words()).packed()).keys) == 0
+    assert len(Batch.unpacked(Batch.of([None, ""], Words()).packed()).word) == 0
+
+
+def test_counts_and_pairs():
+    batch = Batch.of(["Ban thi đua #thi ban thi. Thi đua", "ban thi"], Words())
+    key, n, words, again = batch.counts()
+    assert words.sum() == len(batch.word) == 10 and n.sum() == 2 * len(batch.word) - 2 and again.sum() == 0
+    assert len(np.unique(key)) == len(key) and dict(zip(key.tolist(), n.tolist()))[LINK] == 1
 
 
 def test_word_salad_is_below_chance():
@@ -87,9 +94,9 @@ def test_word_salad_is_below_chance():
     words = [f"tu{chr(97 + k)}x" for k in range(26)]
     salad = " ".join(rng.choice(words) for _ in range(40)) + "."
     batch = Batch.of([salad], Words())
-    key = np.unique(np.concatenate([batch.keys, batch.pairs()[1]]))
-    n = np.where(np.isin(key, batch.keys), 1000.0, 1.0)
+    key = np.unique(batch.counts()[0])
+    n = np.where(np.isin(key, batch.vocab), 1000.0, 1.0)
     again = np.zeros(len(key), np.int64)
-    assert batch.stuffed(1, key, n, again, 100_000.0, 100_000.0).tolist() == [True]
-    assert batch.stuffed(1, key, np.full(len(key), 1000.0), again, 100_000.0, 100_000.0).tolist() == [False]
+    assert batch.stuffed(key, n, again, 100_000.0, 100_000.0).tolist() == [True]
+    assert batch.stuffed(key, np.full(len(key), 1000.0), again, 100_000.0, 100_000.0).tolist() == [False]
     assert pair_keys(np.array([1]), np.array([2])) != pair_keys(np.array([2]), np.array([1]))
