@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions.pages import page_chunks
 from quillmesh.functions.text import folded, number_parts
+from quillmesh.operators.segments import segments
 from quillmesh.plans import tables
 from quillmesh.plans.graph import FOLD_SQL, VIEWS_SQL, PropertyGraph
 from quillmesh.runtime import maybe_broadcast, table
@@ -174,3 +175,30 @@ def page_chunk_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["page_chunk_sizes"] = page_chunk_sizes
+
+
+def document_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts of every text with their zones' lengths and numbers of articles."""
+    parts = segments(table(spark, folder, "docs"))
+    size = lambda z: (F.col("zones")[z]["end_pos"] - F.col("zones")[z]["start_pos"]).alias(f"{z}_len")
+    return parts.select("rec_id", "part_index", "kind", "title", "marker", "start_pos", "end_pos", F.size("articles").alias("n_articles"), *map(size, ("header", "basis", "body", "sign")))
+
+
+def document_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """The articles of every part, as they stand in the text."""
+    parts = segments(table(spark, folder, "docs")).select("rec_id", "part_index", F.explode("articles").alias("a"))
+    return parts.select("rec_id", "part_index", "a.seq", F.col("a.number").alias("article_number"), "a.suffix", "a.heading", "a.start_pos", "a.end_pos", F.col("a.implements").alias("is_thi_hanh"))
+
+
+QUERIES |= {f.__name__: f for f in (document_parts, document_articles)}
+# that every text is covered by its parts without gaps, and every article lies in a part, is tested; the articles' places are SQL's
+ORACLE["document_articles_found"] = r"""WITH t AS (SELECT rec_id, unnest(regexp_extract_all(nfc_normalize(raw_txt), '(?m)^[ \t]*Điều\s+[0-9]+[a-zA-ZđĐ]?\s*[.:]')) AS head FROM docs)
+  SELECT rec_id, count(*) AS n, sum(CAST(regexp_extract(head, '([0-9]+)', 1) AS BIGINT)) AS total FROM t GROUP BY rec_id"""
+
+
+def document_articles_found(spark: SparkSession, folder: str) -> DataFrame:
+    """How many articles each text has and what their numbers add up to."""
+    return document_articles(spark, folder).groupBy("rec_id").agg(F.count(F.lit(1)).alias("n"), F.sum("article_number").alias("total"))
+
+
+QUERIES["document_articles_found"] = document_articles_found
