@@ -133,14 +133,21 @@ class OrphanLedger:
     rows: DataFrame
     index: DataFrame
     references: DataFrame
+    #: Nothing was taken in yet.
+    fresh: bool = False
 
     @staticmethod
     def empty(spark: SparkSession) -> OrphanLedger:
-        return OrphanLedger(*(spark.createDataFrame([], s) for s in (ROWS, INDEX, REFERENCES)))
+        return OrphanLedger(*(spark.createDataFrame([], s) for s in (ROWS, INDEX, REFERENCES)), fresh=True)
 
     def advance(self, references: DataFrame | None = None, parents: DataFrame | None = None) -> OrphanLedger:
         """The ledger after a slice of ``reference_rows`` and ``parent_rows``, either of which may be left out."""
         rows, index, known = self.rows, self.index, self.references
+        if self.fresh:
+            # the first slice changes nothing, so all of it is new
+            rows = rows if parents is None else cut(parents)
+            index = index if parents is None else cut(_fold(rows))
+            return OrphanLedger(rows, index, known if references is None else cut(probe(references, index)))
         if parents is not None:
             old = rows.select("row", F.struct("key", "seed", "real", "s", "e").alias("old"))
             now = F.struct("key", "seed", "real", "s", "e")

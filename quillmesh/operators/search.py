@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.functions.text import tokens
-from quillmesh.runtime import cut, stored
+from quillmesh.runtime import stored
 
 K1, B = 1.5, 0.75
 #: Constant of reciprocal rank fusion.
@@ -86,8 +86,10 @@ class Phrase(Term):
     def scores(self, index: TextIndex, k1: float, b: float) -> DataFrame:
         if len(self.words) == 1:
             return Term(self.words[0]).scores(index, k1, b)
-        hits = cut(self.hits(index))
-        return index.weigh(hits, F.lit(hits.count()), k1, b)
+        hits = self.hits(index)
+        # its frequency is one number, summed where the hits are
+        n = F.broadcast(hits.agg(F.count(F.lit(1)).alias("df")))
+        return index.weigh(hits.crossJoin(n), F.col("df"), k1, b)
 
 
 @dataclass(frozen=True)
