@@ -80,7 +80,7 @@ def spread(df: DataFrame) -> DataFrame:
     Only where the work is: what Spark knows of the size decides, and rows are the same either way.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(2 * cores) if size <= SPREAD_BYTES * cores else df
 
 
