@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm.fold import fold_words
-from quillmesh.runtime import cut
+from quillmesh.runtime import cut, spread
 
 #: Words of a seed, of a passage at the least, and between two changes.
 SEED, LEAST, APART = 5, 20, 8
@@ -332,6 +332,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, some: int = 500) -> DataFrame:
     blocks = max(1, -(-n // BLOCK), -(-chars // CHARS))
     texts = docs.where("doc_id is not null and text is not null and text <> ''").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     n_docs = texts.count()
+    texts = spread(texts)
     out = None
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)

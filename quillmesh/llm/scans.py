@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.runtime import cut
+from quillmesh.runtime import cut, spread
 
 #: The line model is fitted on at most twice so many documents, of at most so many characters each.
 SAMPLE, FIT_CHARS = 1_500, 200_000
@@ -195,7 +195,7 @@ class LineModel:
         self.size[state] += 1
         self.seen[state].update(features)
 
-    def learn(self, docs: list[tuple[Layout, str, set[int]]]) -> None:
+    def learn(self, docs: list[tuple[Layout, str, set[int] | None]]) -> None:
         """Counts from layouts, their states and their breaks; blank lines are passed over, marks are page edges."""
         self.__init__()
         for text, states, breaks in docs:
@@ -214,7 +214,7 @@ class LineModel:
             for i, then in zip(body, [*body[1:], None]):
                 if text.cut_at(i):
                     self._note("C" if states[i] == "C" else "c", text.ending(i, then))
-                if then is not None and states[i] != "C":
+                if breaks is not None and then is not None and states[i] != "C":
                     here = "k" if i in breaks else "b"
                     self._note(here, text.between(i, then))
                     self.turns[before, here] += 1
@@ -338,13 +338,14 @@ def rough_breaks(text: Layout, states: str) -> set[int]:
     return out
 
 
-def fit(texts: list[str]) -> LineModel:
-    """A model from texts: rough labels first, then twice its own."""
-    docs = [(x := Layout(t), y := rough_states(x), rough_breaks(x, y)) for t in texts]
+def fit(texts: list[str], breaks: bool = True) -> LineModel:
+    """A model from texts: rough labels first, then twice its own; of the ends of paragraphs only if they are asked for."""
+    ends = lambda f, x, y: f(x, y) if breaks else None
+    docs = [(x := Layout(t), y := rough_states(x), ends(rough_breaks, x, y)) for t in texts]
     model = LineModel()
     model.learn(docs)
     for _ in range(2):
-        model.learn([(x, y := model.decode(x), model.breaks(x, y)) for x, *_ in docs])
+        model.learn([(x, y := model.decode(x), ends(model.breaks, x, y)) for x, *_ in docs])
     return model
 
 
@@ -557,10 +558,10 @@ def find_faults(texts: DataFrame, text_too: bool = False) -> DataFrame:
     file tells which words are proper, none is called misread. In how many scans a word stands is
     counted over different texts, so that copies do not turn a misreading into their form.
     """
-    texts = texts.select("tbl", "row_id", "text").where("text is not null and text <> ''")
+    texts = spread(texts.select("tbl", "row_id", "text").where("text is not null and text <> ''"))
     n = texts.count()
     some = texts.where(F.pmod(F.xxhash64("row_id", "tbl"), F.lit(max(1, n // SAMPLE))) == 0).where(F.length("text") <= FIT_CHARS)
-    model = fit([r[0] for r in some.select("text").limit(2 * SAMPLE).collect()])
+    model = fit([r[0] for r in some.select("text").limit(2 * SAMPLE).collect()], breaks=text_too)
     misread = cut(misread_words(texts))
     blocks = max(1, -(-misread.count() // BLOCK))
     outs, sc = [], texts.sparkSession.sparkContext

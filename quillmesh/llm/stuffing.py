@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm.fold import fold_words
 from quillmesh.llm.leaks import repaired
-from quillmesh.runtime import cut
+from quillmesh.runtime import cut, spread
 
 #: Documents and characters of a batch; a longer text is a batch of its own.
 BATCH, CHARS = 2_000, 4_000_000
@@ -307,7 +307,7 @@ def find_stuffed(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([np.full(m, no), key[part], n[part], single[part], again[part], pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], schema=_ROW)
 
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    made = cut(rows.mapInArrow(read, "batch bigint, key bigint, n bigint, words bigint, again bigint, ids binary, packed binary"))
+    made = cut(spread(rows).mapInArrow(read, "batch bigint, key bigint, n bigint, words bigint, again bigint, ids binary, packed binary"))
     counts, packed = made.where("key is not null"), made.where("key is null").select(F.col("batch").alias("no"), "ids", "packed")
     total, repeated = (float(x or 0) for x in counts.agg(F.sum("words"), F.sum("again")).first())
     sums = counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("again").alias("again"))
