@@ -190,12 +190,12 @@ def topic_matrix(graph: PropertyGraph) -> DataFrame:
     pr(it, n, r) AS (SELECT 0, n, 1.0::DOUBLE / c FROM nn, tot UNION ALL SELECT it + 1, n, r FROM (
       WITH cur AS (SELECT * FROM pr), gone AS (SELECT coalesce(sum(r), 0) AS g FROM cur WHERE n NOT IN (SELECT src FROM od)),
       got AS (SELECT dst AS n, sum(r / k) AS s FROM cur JOIN pe ON pe.src = cur.n JOIN od ON od.src = cur.n GROUP BY dst)
-      SELECT cur.it, cur.n, 0.15 / c + 0.85 * g / c + 0.85 * coalesce(s, 0) AS r FROM cur CROSS JOIN gone CROSS JOIN tot LEFT JOIN got ON got.n = cur.n) WHERE it < 80)
-    SELECT n AS doc_key, round(r, 5) AS rank FROM pr WHERE it = 80"""
+      SELECT cur.it, cur.n, 0.15 / c + 0.85 * g / c + 0.85 * coalesce(s, 0) AS r FROM cur CROSS JOIN gone CROSS JOIN tot LEFT JOIN got ON got.n = cur.n) WHERE it < 150)
+    SELECT n AS doc_key, round(r, 6) AS rank FROM pr WHERE it = 150"""
 )
 def document_pagerank(graph: PropertyGraph) -> DataFrame:
-    """PageRank of the citation graph, iterated until a round moves less than a millionth of all rank."""
-    return pagerank(graph.edge, rounds=100, tolerance=1e-6).select(F.col("node").alias("doc_key"), F.round("rank", 5).alias("rank"))
+    """PageRank of the citation graph, iterated until a round moves less than a billionth of all rank."""
+    return pagerank(graph.edge, rounds=200, tolerance=1e-9).select(F.col("node").alias("doc_key"), F.round("rank", 6).alias("rank"))
 
 
 @_query(
