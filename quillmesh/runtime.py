@@ -71,7 +71,7 @@ def stored(df: DataFrame, *sort: str) -> DataFrame:
 
 
 #: Bytes a core up to which an input is spread evenly before Python reads it.
-SPREAD_BYTES = 8 << 20
+SPREAD_BYTES = 2 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
