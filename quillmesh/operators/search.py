@@ -77,11 +77,12 @@ class Phrase(Term):
         words = self.words
         if len(words) == 1:
             return Term(words[0]).hits(index)
-        back = lambda k: F.transform("positions", lambda p: p - k)
-        parts = [index.postings.where(F.col("term") == w).select("key", *(["len"] if k == 0 else []), back(k).alias(f"p{k}")) for k, w in enumerate(words)]
-        met = reduce(lambda x, y: x.join(y, "key"), parts)
-        starts = reduce(lambda x, y: F.array_intersect(x, y), [F.col(f"p{k}") for k in range(len(words))])
-        return met.select("key", F.size(starts).cast("bigint").alias("tf"), "len").where("tf > 0")
+        # one reading and one shuffle of the words' postings; a key has at most one list for each word
+        once = sorted(set(words))
+        each = index.postings.where(F.col("term").isin(*once)).groupBy("key", "len").agg(F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("at"))
+        back = lambda k: F.transform(F.col("at")[words[k]], lambda p: p - k)
+        starts = reduce(F.array_intersect, map(back, range(len(words))))
+        return each.where(F.size("at") == len(once)).select("key", F.size(starts).cast("bigint").alias("tf"), "len").where("tf > 0")
 
     def scores(self, index: TextIndex, k1: float, b: float) -> DataFrame:
         if len(self.words) == 1:
