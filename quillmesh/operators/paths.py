@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmesh.runtime import cut, drop
+from quillmesh.runtime import checkpoint_dir, cut, delete, drop
 
 #: Longest walk that may be asked for.
 MOST_HOPS = 6
@@ -84,26 +86,47 @@ def pagerank(edges: DataFrame, alpha: float = 0.85, rounds: int = 20, tolerance:
     return rank.select("node", "rank")
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): weakly connected components, named by their least node.
 
-    Each round every node takes the least label of itself and its neighbours, then the label of its
-    label, so rounds grow with the logarithm of the diameter in practice.
+    Randomised contraction: each round every node is merged into the first of itself and its
+    neighbours in an order drawn anew, and edges between what is merged go on to the next round until
+    none is left. A round takes about half of the nodes of a chain and at least one of any component,
+    so rounds grow with the logarithm of the nodes, whatever the shape. Loops and null ends are left
+    out; an empty graph gives an empty result.
+
+    Rounds are stored as tables, not cut: a cut keeps the estimated size of its plan, a join
+    multiplies two of them, and after some twenty rounds that number alone fills the driver.
     """
-    e = edges.where("src is not null and dst is not null").select(F.col("src").alias("a"), F.col("dst").alias("b"))
-    both = cut(e.union(e.select("b", "a")).where("a <> b").distinct())
-    label = cut(e.select(F.col("a").alias("node")).union(e.select("b")).distinct().withColumn("component", F.col("node")))
-    for _ in range(rounds):
-        near = both.join(label.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("least"))
-        low = label.join(near, "node", "left").select("node", F.least("component", "least").alias("c"), F.col("component").alias("old"))
-        up = low.select(F.col("node").alias("c"), F.col("c").alias("further"))
-        new = cut(low.join(up, "c", "left").select("node", F.least("c", "further").alias("component"), "old"))
-        moved = new.where("component <> old").limit(1).count()
-        drop(label)
-        label = new.select("node", "component")
-        if not moved:
-            return label
-    raise RuntimeError("components did not settle")
+    spark = edges.sparkSession
+    at = f"{checkpoint_dir(spark)}/components-{uuid.uuid4().hex}"
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{at}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{at}/{name}")
+
+    def pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+        return df.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+    e, merged = kept(pairs(edges, "src", "dst"), "edges-0"), []
+    while not merged or not e.isEmpty():
+        k = len(merged)
+        place = lambda n: F.struct(F.xxhash64(F.lit(k), n).alias("h"), F.col(n).alias("into"))  # noqa: B023, E731
+        first = e.union(e.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.min(place("b")).alias("x"))
+        into = kept(first.select("node", F.least("x", place("node"))["into"].alias("into")), f"merged-{k}")
+        left, right = into.toDF("a", "a_into"), into.toDF("b", "b_into")
+        e = kept(pairs(e.join(left, "a").join(right, "b"), "a_into", "b_into"), f"edges-{k + 1}")
+        delete(spark, f"{at}/edges-{k}")
+        merged.append(into)
+    # back from the last round to the first: a node goes where the node it was merged into went
+    root = merged.pop()
+    while merged:
+        root = merged.pop().join(root.toDF("into", "further"), "into", "left").select("node", F.coalesce("further", "into").alias("into"))
+    root = kept(root, "roots")
+    least = root.groupBy("into").agg(F.min("node").alias("component"))
+    out = cut(root.join(least, "into").select("node", "component"))
+    delete(spark, at)
+    return out
 
 
 def ego(edges: DataFrame, centre: str, hops: int, most: int = 60) -> DataFrame:

@@ -46,7 +46,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
@@ -59,7 +59,7 @@ def drop(df: DataFrame) -> None:
         if leaf.nodeName().startswith("LogicalRDD") or leaf.getClass().getSimpleName() == "LogicalRDD":
             file = leaf.rdd().getCheckpointFile()
             if file.isDefined():
-                _delete(df.sparkSession, file.get())
+                delete(df.sparkSession, file.get())
 
 
 def stored(df: DataFrame, *sort: str) -> DataFrame:

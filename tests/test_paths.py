@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from quillmesh.operators.paths import components, ego, pagerank, reversed_edges, shortest, trails
@@ -48,3 +50,13 @@ def test_pagerank_components_ego(spark, edges):
     none = edges.limit(0)
     assert pagerank(none).count() == 0 and components(none).count() == 0
     assert [tuple(r) for r in ego(edges.where("src is not null and dst is not null"), "a", 1).orderBy("depth", "node").collect()] == [("a", 0), ("b", 1), ("c", 1)]
+
+
+def test_components_of_long_chains_and_hubs(spark):
+    rng = random.Random(11)
+    names = [f"{rng.getrandbits(40):x}" for _ in range(600)]
+    chain, hub = names[:400], names[400:]
+    pairs = [(a, b) if rng.random() < 0.5 else (b, a) for a, b in zip(chain, chain[1:], strict=False)] + [(hub[0], n) for n in hub[1:]] + [("x", "x"), (chain[0], chain[1])]
+    edges = spark.createDataFrame([(a, "R", b) for a, b in pairs], "src string, rel string, dst string")
+    got = {r["node"]: r["component"] for r in components(edges).collect()}
+    assert got == dict.fromkeys(chain, min(chain)) | dict.fromkeys(hub, min(hub))
