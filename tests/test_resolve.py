@@ -45,6 +45,49 @@ def test_people(spark):
     assert got["Kha"] == ("ambiguous", None) and got["cô Mận"][0] == got["bàng"][0] == "not_found"
 
 
+def people_brute(asked, names):
+    words = lambda x: set(x.removeprefix("truong ").split())
+    out = {}
+    for m in asked:
+        a, key = words(m), lambda n: n.replace(" ", "_")
+        s = sorted((-round(len(a & words(n)) / len(a | words(n)), 9), key(n), n) for n in names)
+        s = [x for x in s if -x[0] >= 0.5]
+        part = sorted((key(n), n) for n in names if set(m.split()) <= set(n.split()))
+        if m in names:
+            out[m] = ("resolved", key(m), [])
+        elif s:
+            sure = len(s) == 1 or round(s[1][0] - s[0][0], 9) >= 0.08
+            out[m] = ("resolved", s[0][1], []) if sure else ("ambiguous", None, [x[2] for x in s[:3]])
+        elif len(part) == 1:
+            out[m] = ("resolved", part[0][0], [])
+        else:
+            out[m] = ("ambiguous", None, [x[1] for x in part[:5]]) if part else ("not_found", None, [])
+    return out
+
+
+def test_people_against_all_pairs(spark):
+    rng = random.Random(8)
+    word = ["truong", *(f"w{k:02}" for k in range(25))]
+    draw = lambda n: " ".join((["truong"] if rng.random() < 0.2 else []) + rng.sample(word[1:], n))
+    names = sorted({draw(rng.choice((1, 3, 4, 4, 4, 6, 9, 10, 11, 14))) for _ in range(150)})
+    near = [" ".join((n.split() + ["w90", "w91", "w92"])[rng.randint(0, 2) : rng.randint(2, 16)]) for n in names]
+    asked = sorted({draw(rng.choice((1, 1, 2, 4, 5, 8, 12))) for _ in range(80)} | {n for n in near if n} | set(names[:5]) | {"w90"})
+    got = resolve.pick_person(spark.createDataFrame([(x,) for x in asked], "mention string"), spark.createDataFrame([(x,) for x in names], "name string")).collect()
+    assert {r["mention"]: (r["outcome"], r["value"], r["candidates"]) for r in got} == people_brute(asked, set(names)) and len(got) == len(asked)
+
+
+def test_names_out_of_few_words_make_few_candidates(spark, monkeypatch):
+    rng = random.Random(9)
+    word = [f"w{k:02}" for k in range(12)]
+    names = sorted({" ".join(rng.sample(word, 4)) for _ in range(1500)})
+    asked = [*word, *(f"{n} nay" for n in names[:200])]
+    seen, ranked = [], resolve._ranked
+    monkeypatch.setattr(resolve, "_ranked", lambda pairs, *a: seen.append(pairs.count()) or ranked(pairs, *a))
+    got = resolve.pick_person(spark.createDataFrame([(x,) for x in asked], "mention string"), spark.createDataFrame([(x,) for x in names], "name string")).collect()
+    assert {r["mention"]: (r["outcome"], r["value"], r["candidates"]) for r in got} == people_brute(asked, set(names))
+    assert 0 < sum(seen) <= 20 * len(asked)
+
+
 def test_articles_and_lines(spark):
     asked = {"điều 12b": "Điều 12b", "9": "Điều 9", "Điểm c khoản 1 ĐIỀU 30": "Điều 30", "phần iii": "III", "Mục 4.2.": "4.2", "1.3": "1.3", "phụ lục": None, "": None, None: None}
     df = spark.createDataFrame([(i, x) for i, x in enumerate(asked)], "i int, c string").orderBy("i")
